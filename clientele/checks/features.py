@@ -61,7 +61,7 @@ SELECT f.customer_unique_id, {col} FROM (
   SELECT customer_unique_id, customer_state AS state FROM (
     SELECT *, row_number() OVER (PARTITION BY customer_unique_id ORDER BY order_purchase_timestamp, order_id) AS k FROM base) x WHERE k = 1) f
 LEFT JOIN (SELECT customer_state AS state, count(DISTINCT customer_unique_id) AS state_customer_count,
-  avg(CAST(price AS DOUBLE)) AS avg_price FROM base GROUP BY 1) s ON f.state = s.state""")
+  CAST(sum(price) AS DOUBLE) / count(*) AS avg_price FROM base GROUP BY 1) s ON f.state = s.state""")
 _DAYPART = """CASE WHEN hour(order_purchase_timestamp) BETWEEN 6 AND 11 THEN 'morning'
   WHEN hour(order_purchase_timestamp) BETWEEN 12 AND 17 THEN 'afternoon'
   WHEN hour(order_purchase_timestamp) BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END"""
@@ -95,8 +95,8 @@ _BASKET = [
     ("a14_avg_product_photos", "avg_product_photos", _grouped("round(avg(product_photos_qty), 6)", "avg_product_photos")),
 ]
 _PRICE = [
-    ("a15_avg_item_price", "avg_item_price", _grouped("round(avg(CAST(price AS DOUBLE)), 6)", "avg_item_price")),
-    ("a16_price_std", "price_std", _grouped("round(stddev_samp(CAST(price AS DOUBLE)), 6)", "price_std")),
+    ("a15_avg_item_price", "avg_item_price", _grouped("round(CAST(sum(price) AS DOUBLE) / count(*), 6)", "avg_item_price")),
+    ("a16_price_std", "price_std", _grouped("round(stddev_samp(CAST(price AS DOUBLE)), 3)", "price_std")),
     ("a17_max_item_price", "max_item_price", _grouped("round(CAST(max(price) AS DOUBLE), 6)", "max_item_price")),
     ("a18_freight_ratio", "freight_ratio", _grouped(
         "round(CAST(sum(freight_value) AS DOUBLE) / nullif(CAST(sum(freight_value) + sum(price) AS DOUBLE), 0), 6)",
@@ -147,7 +147,14 @@ _GEO = [
 
 def _register(entries, build):
     for name, column, sql in entries:
-        retail(name, sql)(lambda t, column=column: rounded(build(t).select(ID, column)))
+        retail(name, sql)(lambda t, column=column: _shown(build(t).select(ID, column)))
+
+
+def _shown(df):
+    """Six digits; three for the price deviation, whose magnitude is 10^4."""
+    if "price_std" in df.columns:
+        df = df.withColumn("price_std", F.round("price_std", 3))
+    return rounded(df)
 
 
 _register(_RFM, lambda t: fe.rfm_features(facts_ops.order_facts(t)))
@@ -198,6 +205,20 @@ for _name, _column, _sql in _RFM + _BASKET + _PRICE + [
     _PARTS[_column] = _sql
 
 
+def _unrounded(sql: str) -> str:
+    """The same SQL with every ``round(x, n)`` replaced by ``x``."""
+    while (start := sql.find("round(")) >= 0:
+        depth, comma = 0, None
+        for i in range(start + 5, len(sql)):
+            depth += {"(": 1, ")": -1}.get(sql[i], 0)
+            if sql[i] == "," and depth == 1:
+                comma = i
+            if depth == 0:
+                break
+        sql = sql[:start] + "(" + sql[start + 6:comma] + ")" + sql[i + 1:]
+    return sql
+
+
 def assembled_sql() -> str:
     """One SQL text with all 42 features, for the assembly and later steps."""
     from clientele.checks.ctes import BASE
@@ -213,9 +234,12 @@ def assembled_sql() -> str:
     return ",\n".join(ctes)
 
 
+FEATURES = _unrounded(assembled_sql())
+
+
 @retail("a44_customer_features", f"WITH {assembled_sql()} SELECT * FROM features")
 def _assembled(t):
-    return rounded(fe.assemble(t))
+    return _shown(fe.assemble(t, materialize=True))
 
 
 @retail("a45_order_grain_rfm", "WITH " + """{tables}, o AS (
