@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from clientele.checks.ctes import base, days
-from clientele.checks.registry import retail, rounded
+from clientele.checks.ctes import BASE, TABLES, base, days
+from clientele.checks.registry import retail, rounded, without_rounding
 from clientele.operators import base as facts_ops
 from clientele.operators import features as fe
 
@@ -45,12 +45,7 @@ _FIRST = """first_place AS (
 
 
 def _placed(expr: str, name: str) -> str:
-    return f"WITH {facts_ops_sql()}, {_FIRST} SELECT customer_unique_id, {expr} AS {name} FROM first_place"
-
-
-def facts_ops_sql() -> str:
-    from clientele.checks.ctes import BASE
-    return BASE
+    return f"WITH {BASE}, {_FIRST} SELECT customer_unique_id, {expr} AS {name} FROM first_place"
 
 
 _REGION = "CASE " + " ".join(
@@ -67,9 +62,6 @@ _DAYPART = """CASE WHEN hour(order_purchase_timestamp) BETWEEN 6 AND 11 THEN 'mo
   WHEN hour(order_purchase_timestamp) BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END"""
 _TO_DELIVERY = "floor((epoch_us(order_delivered_customer_date) - epoch_us(order_purchase_timestamp)) / 86400000000.0)"
 _DELAY = "floor((epoch_us(order_delivered_customer_date) - epoch_us(order_estimated_delivery_date)) / 86400000000.0)"
-_TYPES = base(f"""
-SELECT customer_unique_id, avg_days, median(avg_days) OVER () AS m FROM (
-  SELECT customer_unique_id, avg({_TO_DELIVERY}) {_DELIVERED} AS avg_days FROM base GROUP BY 1) x""")
 
 _RFM = [
     ("a01_recency", "recency", _grouped(days("d", "max(order_purchase_timestamp)"), "recency")),
@@ -168,11 +160,12 @@ _register(_TEMPORAL, lambda t: fe.temporal_features(facts_ops.order_facts(t)))
 _register(_GEO, lambda t: fe.geographic_features(facts_ops.order_facts(t)))
 
 
-@retail("a37_avg_delivery_days", base(f"""
-SELECT customer_unique_id, round(coalesce(avg_days, (SELECT median(avg_days) FROM x)), 6) AS avg_delivery_days FROM x
-""").replace("\nSELECT customer_unique_id, round(coalesce(avg_days", f""",
+_DELIVERY_DAYS = f"""WITH {BASE},
 x AS (SELECT customer_unique_id, avg({_TO_DELIVERY}) {_DELIVERED} AS avg_days FROM base GROUP BY 1)
-SELECT customer_unique_id, round(coalesce(avg_days""", 1))
+SELECT customer_unique_id, round(coalesce(avg_days, (SELECT median(avg_days) FROM x)), 6) AS avg_delivery_days FROM x"""
+
+
+@retail("a37_avg_delivery_days", _DELIVERY_DAYS)
 def _delivery_days(t):
     return rounded(fe.fill_delivery_days(fe.temporal_features(facts_ops.order_facts(t))).select(ID, "avg_delivery_days"))
 
@@ -205,25 +198,9 @@ for _name, _column, _sql in _RFM + _BASKET + _PRICE + [
     _PARTS[_column] = _sql
 
 
-def _unrounded(sql: str) -> str:
-    """The same SQL with every ``round(x, n)`` replaced by ``x``."""
-    while (start := sql.find("round(")) >= 0:
-        depth, comma = 0, None
-        for i in range(start + 5, len(sql)):
-            depth += {"(": 1, ")": -1}.get(sql[i], 0)
-            if sql[i] == "," and depth == 1:
-                comma = i
-            if depth == 0:
-                break
-        sql = sql[:start] + "(" + sql[start + 6:comma] + ")" + sql[i + 1:]
-    return sql
-
-
 def assembled_sql() -> str:
     """One SQL text with all 42 features, for the assembly and later steps."""
-    from clientele.checks.ctes import BASE
-    from clientele.checks.registry import ORACLES
-    parts = {**_PARTS, "avg_delivery_days": ORACLES["a37_avg_delivery_days"]}
+    parts = {**_PARTS, "avg_delivery_days": _DELIVERY_DAYS}
     ctes = [BASE]
     for column, sql in parts.items():
         body = sql.split(BASE, 1)[1].lstrip(" ,\n")
@@ -234,7 +211,7 @@ def assembled_sql() -> str:
     return ",\n".join(ctes)
 
 
-FEATURES = _unrounded(assembled_sql())
+FEATURES = without_rounding(assembled_sql())
 
 
 @retail("a44_customer_features", f"WITH {assembled_sql()} SELECT * FROM features")
@@ -248,7 +225,7 @@ def _assembled(t):
     FROM order_items GROUP BY 1) v USING (order_id))
 SELECT customer_unique_id, count(*) AS frequency, round(CAST(sum(total) AS DOUBLE), 2) AS monetary,
   round(avg(CAST(n AS DOUBLE)), 6) AS avg_items_per_order FROM o GROUP BY 1""".replace(
-    "{tables}", __import__("clientele.checks.ctes", fromlist=["TABLES"]).TABLES))
+    "{tables}", TABLES))
 def _order_grain(t):
     facts = facts_ops.order_facts(t, grain="order")
     return rounded(fe.rfm_features(facts).select(ID, "frequency", "monetary", "avg_items_per_order"))

@@ -56,8 +56,8 @@ filled AS (SELECT customer_unique_id, {', '.join(_filled(c) for c in _NUMERIC)},
   {', '.join(pr.CATEGORICAL)} FROM filled""")
 def _imputed(t):
     df = pr.impute(_features(t))
-    digits = {"price_std": 3}
-    return df.select(ID, *[F.round(F.col(c).cast("double"), digits.get(c, 5)).alias(c) for c in _NUMERIC], *pr.CATEGORICAL)
+    df = df.select(ID, *[F.col(c).cast("double").alias(c) for c in _NUMERIC], *pr.CATEGORICAL)
+    return rounded(df.withColumn("price_std", F.round("price_std", 3)), 5)
 
 
 @retail("x04_missing_report", f"""WITH {_FEATURES} SELECT * FROM (
@@ -102,7 +102,7 @@ def _power(t):
 def _selected(t):
     df = _features(t)
     chosen = [c for c in pr.present(pr.CLUSTERING_FEATURES, df) if c in _SCALED]
-    return df.select(ID, *[F.round(F.col(c).cast("double"), 5).alias(c) for c in chosen])
+    return rounded(df.select(ID, *[F.col(c).cast("double").alias(c) for c in chosen]), 5)
 
 
 @retail("x10_feature_pipeline", f"""WITH {_FEATURES},

@@ -106,9 +106,9 @@ def histogram(df: DataFrame, column: str, bound: float, bins: int) -> DataFrame:
     limits = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("limits")).scalar()
     lo, hi = limits["lo"], limits["hi"]
     width = (hi - lo) / bins
-    position = F.least(F.floor((F.col("x") - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    position = F.least(F.floor(F.try_divide(F.col("x") - lo, width)), F.lit(bins - 1))
     return (
-        values.select(zero_if_null(position).cast("int").alias("bin"))
+        values.select(F.when(width > 0, position).otherwise(0).cast("int").alias("bin"))
         .groupBy("bin").agg(F.count("*").alias("count"))
         .select("bin", (lo + F.col("bin") * width).alias("from"), "count").orderBy("bin")
     )
