@@ -74,6 +74,9 @@ def cluster(x, min_cluster_size, min_samples, floor=1e-10):
         flag[k] = k != 0 and own >= inner - 1e-9 * abs(inner)
         value[k] = own if flag[k] else inner
     labels, probs = np.full(n, -1), np.zeros(n)
+    # A row that joins in the very step in which two clusters join may be
+    # counted to one of them (binary steps) or to their union (one step).
+    tied = {p for c in clusters.values() for p, lam in c["exits"].items() if lam == c["birth"]}
 
     def top(k):
         found = None
@@ -90,4 +93,4 @@ def cluster(x, min_cluster_size, min_samples, floor=1e-10):
         peak = max(list(clusters[t]["exits"].values()) + [lam for _, lam in clusters[t]["children"]])
         for p, lam in c["exits"].items():
             labels[p], probs[p] = t, min(lam, peak) / peak
-    return labels, probs
+    return labels, probs, tied
