@@ -66,7 +66,7 @@ _WORDS = r"string_split(trim(regexp_replace(low, '[^\p{L}\p{M}\p{N}_]+', ' ', 'g
 def _names(words, title):
     tests = ", ".join(
         f"CASE WHEN {f'''contains(low, '{w}')''' if ' ' in w else f'''list_contains(w, '{w}')'''} THEN '{w.title() if title else w}' END" for w in words)
-    return f"list_filter([{tests}], x -> x IS NOT NULL)"
+    return f"[{tests}]"  # nulls are skipped where the list is used
 
 
 NAMED = MESSAGES + f""",
@@ -74,13 +74,13 @@ t AS (SELECT *, {_WORDS} AS w FROM m),
 n AS (SELECT *, {_names(it.COHORTS, True)} AS cohorts, {_names(it.METRICS, False)} AS metrics FROM t)"""
 
 
-@query("n05_segment_mentions", f"WITH {NAMED} SELECT conv_id, turn, array_to_string(cohorts, ', ') AS cohorts FROM n")
+@query("n05_segment_mentions", f"WITH {NAMED} SELECT conv_id, turn, coalesce(list_aggregate(cohorts, 'string_agg', ', '), '') AS cohorts FROM n")
 def _mentions(spark, sf_dir):
     df = messages(spark, sf_dir)
     return df.select("conv_id", "turn", F.array_join(it.cohort_mentions(F.col("text")), ", ").alias("cohorts"))
 
 
-@query("n06_metric_mentions", f"WITH {NAMED} SELECT conv_id, turn, array_to_string(metrics, ', ') AS metrics FROM n")
+@query("n06_metric_mentions", f"WITH {NAMED} SELECT conv_id, turn, coalesce(list_aggregate(metrics, 'string_agg', ', '), '') AS metrics FROM n")
 def _metrics(spark, sf_dir):
     df = messages(spark, sf_dir)
     return df.select("conv_id", "turn", F.array_join(it.metric_mentions(F.col("text")), ", ").alias("metrics"))
@@ -88,15 +88,18 @@ def _metrics(spark, sf_dir):
 
 _POS = "CASE name " + " ".join(f"WHEN '{k.title()}' THEN {i}" for i, k in enumerate(it.COHORTS)) + " END"
 CONTEXT = NAMED + f""",
-said AS (SELECT conv_id, name, min(turn) AS turn FROM (SELECT conv_id, turn, unnest(cohorts) AS name FROM n WHERE role IN ('user', 'assistant')) u GROUP BY 1, 2),
+said AS (SELECT conv_id, name, min(turn) AS turn FROM (SELECT conv_id, turn, unnest(cohorts) AS name FROM n WHERE role IN ('user', 'assistant')) u WHERE name IS NOT NULL GROUP BY 1, 2),
 placed AS (SELECT *, {_POS} AS pos FROM said)"""
 _LISTS = "(SELECT conv_id, string_agg(name, ', ' ORDER BY turn, pos) AS names FROM placed GROUP BY 1)"
 
 
-@query("n14_running_context", f"""WITH {CONTEXT}, {SCORED[SCORED.index('s AS ('):]}
+ORACLES_N14 = f"""WITH {CONTEXT}, {SCORED[SCORED.index('s AS ('):]}
 SELECT c.conv_id, coalesce(l.names, '') AS segments_discussed, q.intent AS last_intent, q.column_selection AS last_data_source
 FROM (SELECT DISTINCT conv_id FROM m WHERE role IN ('user', 'assistant')) c LEFT JOIN {_LISTS} l USING (conv_id)
-LEFT JOIN (SELECT * FROM (SELECT conv_id, intent, column_selection, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM i WHERE role = 'user') z WHERE k = 1) q USING (conv_id)""")
+LEFT JOIN (SELECT * FROM (SELECT conv_id, intent, column_selection, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM i WHERE role = 'user') z WHERE k = 1) q USING (conv_id)"""
+
+
+@query("n14_running_context", ORACLES_N14)
 def _context(spark, sf_dir):
     df = cv.running_context(messages(spark, sf_dir)).drop("mentions")
     return df.withColumn("segments_discussed", F.array_join("segments_discussed", ", "))
@@ -109,13 +112,13 @@ r AS (SELECT *, [""" + ", ".join(f"CASE WHEN contains(low, '{k}') THEN '{k.title
   (""" + " OR ".join(f"contains(low, '{k}')" for k in it.COMPARISON) + """) AS comparing,
   coalesce(""" + ", ".join(f"CASE WHEN contains(low, '{p}') THEN d[{i + 1}] END" for p, i in it.PRONOUNS) + """) AS referred,
   (""" + " OR ".join(f"contains(low, '{k}')" for k in it.PRIORITY) + """) AS prioritising FROM before),
-z AS (SELECT *, list_filter(raw, x -> x IS NOT NULL) AS named FROM r)"""
+z AS (SELECT *, list_aggregate(raw, 'count') AS n_named, list_aggregate(raw, 'string_agg', ', ') AS named FROM r)"""
 
 
 @query("n13_resolved_requests", f"""WITH {_BEFORE} SELECT conv_id, turn,
-  CASE WHEN comparing AND len(named) >= 2 THEN 'compare_segments' WHEN referred IS NOT NULL THEN 'get_segment_details' WHEN prioritising THEN 'smart_customer_query' END AS tool,
-  CASE WHEN comparing AND len(named) >= 2 THEN NULL ELSE referred END AS segment,
-  CASE WHEN comparing AND len(named) >= 2 THEN array_to_string(named, ', ') END AS segment_names FROM z""")
+  CASE WHEN comparing AND n_named >= 2 THEN 'compare_segments' WHEN referred IS NOT NULL THEN 'get_segment_details' WHEN prioritising THEN 'smart_customer_query' END AS tool,
+  CASE WHEN comparing AND n_named >= 2 THEN NULL ELSE referred END AS segment,
+  CASE WHEN comparing AND n_named >= 2 THEN named END AS segment_names FROM z""")
 def _resolved(spark, sf_dir):
     df = cv.resolve_requests(messages(spark, sf_dir)).drop("query")
     return df.withColumn("segment_names", F.array_join("segment_names", ", "))
@@ -201,15 +204,32 @@ def _answers(spark, sf_dir):
 
 @query("n04_routed_requests")
 def _routed(spark, sf_dir):
-    df = lk.route(messages(spark, sf_dir).filter(F.col("role") == "user"), *_answers(spark, sf_dir))
+    requests = truncate(messages(spark, sf_dir).filter(F.col("role") == "user"))
+    df = lk.route(requests, *_answers(spark, sf_dir))
     return df.select("conv_id", "turn", "type", "data_source", "reasoning", F.to_json("segments").alias("segments"), "category",
                      F.to_json("clusters").alias("clusters"), "total_anomalies")
 
 
 @query("n17_tool_results")
 def _tools(spark, sf_dir):
-    asked = cv.resolve_requests(messages(spark, sf_dir))
+    asked = truncate(cv.resolve_requests(messages(spark, sf_dir)))
     requests = asked.select(
         F.concat_ws("-", "conv_id", "turn").alias("request_id"), F.coalesce("tool", F.lit("find_behavioral_cluster")).alias("tool"),
         "query", F.col("segment").alias("segment_name"), F.when(F.col("turn") > 0, "electronics").alias("category"), "segment_names")
-    return lk.dispatch(requests, *_answers(spark, sf_dir))
+    return lk.dispatch(truncate(requests), *_answers(spark, sf_dir))
+
+
+@query("t01_context_stream", ORACLES_N14)
+def _stream(spark, sf_dir):
+    """The streaming job over the table's messages, in two files, then its table."""
+    import uuid
+
+    from clientele.session import scratch_folder
+    from clientele.streaming import context as cx
+
+    root = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
+    messages(spark, sf_dir).repartition(2, "turn").write.parquet(f"{root}/in")
+    stream = cx.message_stream(spark, f"{root}/in", max_files_per_trigger=1)
+    cx.start_context_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    df = cx.latest_context(spark, f"{root}/out").drop("mentions")
+    return df.withColumn("segments_discussed", F.array_join("segments_discussed", ", "))

@@ -115,7 +115,7 @@ def route(requests: DataFrame, segments: Column, clusters: DataFrame, anomalies:
         "recommended_actions": F.when(target == "both", F.array(*[F.lit(a) for a in ANOMALY_ACTIONS])),
     })
     asked = asked.drop("_all")
-    wanted = asked.select("category").filter("category is not null").distinct()
+    wanted = requests.sparkSession.createDataFrame([(c,) for c in intent.CATEGORIES], "category string")
     answers = category_clusters(clusters, wanted)
     ids = F.transform("clusters", lambda c: c["cluster_id"])
     # At most one row per known category.

@@ -153,21 +153,31 @@ EXPLORATION_RULES = [
 ]
 
 
-def _first_rule(rules: list[tuple], r: Column, f: Column, m: Column) -> Column:
-    return F.coalesce(*[
-        F.when(r.between(*recency) & f.between(*frequency) & m.between(*monetary), name)
-        for name, recency, frequency, monetary in rules
-    ])
+def _cells(rules: list[tuple]) -> dict[int, str]:
+    """Segment of each of the 125 cells, numbered like 543 for R=5, F=4, M=3."""
+    scores = range(1, 6)
+    return {
+        100 * r + 10 * f + m: next(
+            name for name, *ranges in rules
+            if all(low <= x <= high for x, (low, high) in zip((r, f, m), ranges)))
+        for r in scores for f in scores for m in scores
+    }
+
+
+def _by_cell(values: dict, r: Column, f: Column, m: Column) -> Column:
+    """Look a cell up in a constant map; the scores enter the plan only once."""
+    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return table[r * 100 + f * 10 + m]
 
 
 def marketing_segment(r: Column, f: Column, m: Column) -> Column:
     """One of 11 segments from the three scores."""
-    return _first_rule(MARKETING_RULES, r, f, m)
+    return _by_cell(_cells(MARKETING_RULES), r, f, m)
 
 
 def exploration_segment(r: Column, f: Column, m: Column) -> Column:
     """One of the 8 segments of the exploration report."""
-    return _first_rule(EXPLORATION_RULES, r, f, m)
+    return _by_cell(_cells(EXPLORATION_RULES), r, f, m)
 
 
 def _with_scores(df: DataFrame, scores: dict[str, Column]) -> DataFrame:
@@ -215,11 +225,15 @@ def exploration_rfm_scores(df: DataFrame, id_col: str = CUSTOMER, on_tied_edges:
 
 def assign_segments(scored: DataFrame) -> DataFrame:
     """Segment name, its rule position and its priority per customer."""
-    named = scored.withColumn("cohort_name", marketing_segment(F.col("R_score"), F.col("F_score"), F.col("M_score")))
-    names = [s["name"] for s in SEGMENTS]
-    position = F.create_map(*[F.lit(x) for i, n in enumerate(names, 1) for x in (n, i)])
-    priority = F.create_map(*[F.lit(x) for s in SEGMENTS for x in (s["name"], s["priority"])])
-    return named.withColumns({"cohort_id": position[F.col("cohort_name")], "priority": priority[F.col("cohort_name")]})
+    scores = F.col("R_score"), F.col("F_score"), F.col("M_score")
+    cells = _cells(MARKETING_RULES)
+    position = {s["name"]: i for i, s in enumerate(SEGMENTS, 1)}
+    priority = {s["name"]: s["priority"] for s in SEGMENTS}
+    return scored.withColumns({
+        "cohort_name": _by_cell(cells, *scores),
+        "cohort_id": _by_cell({cell: position[name] for cell, name in cells.items()}, *scores),
+        "priority": _by_cell({cell: priority[name] for cell, name in cells.items()}, *scores),
+    })
 
 
 def segment_distribution(segmented: DataFrame) -> DataFrame:
