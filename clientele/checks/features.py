@@ -149,7 +149,7 @@ def _shown(df):
     return rounded(df)
 
 
-_register(_RFM, lambda t: fe.rfm_features(facts_ops.order_facts(t)))
+_register(_RFM, lambda t: fe.rfm_features(facts_ops.order_facts(t), facts_ops.purchases(t)))
 _register(_BASKET, lambda t: fe.basket_features(t, facts_ops.order_facts(t)))
 _register(_PRICE, lambda t: fe.price_features(facts_ops.order_facts(t)))
 _register([("a19_distinct_sellers", "distinct_sellers", _grouped("count(DISTINCT seller_id)", "distinct_sellers"))],
@@ -187,7 +187,7 @@ def _base_fact(t):
 @retail("s18_reference_date", base("SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS reference_date FROM ref"))
 def _reference(t):
     last = F.max("order_purchase_timestamp") + F.expr("INTERVAL '1' DAY")
-    return facts_ops.order_facts(t).agg(F.date_format(last, "yyyy-MM-dd HH:mm:ss").alias("reference_date"))
+    return facts_ops.purchases(t).agg(F.date_format(last, "yyyy-MM-dd HH:mm:ss").alias("reference_date"))
 
 
 # The assembled frame is checked against an oracle that joins the single ones.

@@ -7,7 +7,7 @@ from clientele.checks.registry import retail, rounded
 from clientele.operators import explore as ex
 from clientele.operators import features as fe
 from clientele.operators import segments as sg
-from clientele.operators.base import order_facts
+from clientele.operators.base import order_facts, purchases
 from clientele.operators.rank import global_rank
 from clientele.session import truncate
 
@@ -51,7 +51,7 @@ segmented AS (SELECT *, {_IDS} AS cohort_id, {_PRIORITIES} AS priority FROM (SEL
 
 
 def customer_rfm(t):
-    return truncate(fe.rfm_features(order_facts(t)).select(ID, "recency", "frequency", "monetary"))
+    return truncate(fe.rfm_features(order_facts(t), purchases(t)).select(ID, "recency", "frequency", "monetary"))
 
 
 def scored(t):

@@ -55,6 +55,15 @@ def item_lines(t: RetailTables) -> DataFrame:
     return items.join(products, "product_id", "left")
 
 
+def purchases(t: RetailTables) -> DataFrame:
+    """Orders of known customers that have items; no other columns are read."""
+    return (
+        t.orders.select("order_id", "customer_id", "order_purchase_timestamp")
+        .join(t.customers.select("customer_id"), "customer_id", "left_semi")
+        .join(t.order_items.select("order_id"), "order_id", "left_semi")
+    )
+
+
 def reference_date(facts: DataFrame) -> Column:
     """One day after the last purchase, as a scalar subquery."""
     last = F.max("order_purchase_timestamp") + F.expr("INTERVAL '1' DAY")

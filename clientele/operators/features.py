@@ -58,9 +58,13 @@ def _by_customer(facts: DataFrame) -> DataFrame:
 
 # ---- one grouping of the order facts ---------------------------------------
 
-def rfm_features(facts: DataFrame) -> DataFrame:
-    """Recency, frequency, monetary value and what follows from them."""
-    now = reference_date(facts)
+def rfm_features(facts: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Recency, frequency, monetary value and what follows from them.
+
+    The reference date comes from ``dates`` (``base.purchases``) if given, which
+    spares a second evaluation of facts that are not stored.
+    """
+    now = reference_date(facts if dates is None else dates)
     spend = (F.col("price_sum") + F.col("freight_sum")).cast("decimal(38,2)")
     sums = _by_customer(facts).agg(
         F.max("order_purchase_timestamp").alias("last_purchase"),
