@@ -149,7 +149,8 @@ def _shown(df):
     return rounded(df)
 
 
-_register(_RFM, lambda t: fe.rfm_features(facts_ops.order_facts(t), facts_ops.purchases(t)))
+_register(_RFM[:-1], lambda t: fe.rfm_levels(facts_ops.order_facts(t), facts_ops.purchases(t)))
+_register(_RFM[-1:], lambda t: fe.purchase_gaps(facts_ops.order_facts(t)))
 _register(_BASKET, lambda t: fe.basket_features(t, facts_ops.order_facts(t)))
 _register(_PRICE, lambda t: fe.price_features(facts_ops.order_facts(t)))
 _register([("a19_distinct_sellers", "distinct_sellers", _grouped("count(DISTINCT seller_id)", "distinct_sellers"))],
@@ -228,4 +229,4 @@ SELECT customer_unique_id, count(*) AS frequency, round(CAST(sum(total) AS DOUBL
     "{tables}", TABLES))
 def _order_grain(t):
     facts = facts_ops.order_facts(t, grain="order")
-    return rounded(fe.rfm_features(facts).select(ID, "frequency", "monetary", "avg_items_per_order"))
+    return rounded(fe.rfm_levels(facts).select(ID, "frequency", "monetary", "avg_items_per_order"))

@@ -51,7 +51,7 @@ segmented AS (SELECT *, {_IDS} AS cohort_id, {_PRIORITIES} AS priority FROM (SEL
 
 
 def customer_rfm(t):
-    return truncate(fe.rfm_features(order_facts(t), purchases(t)).select(ID, "recency", "frequency", "monetary"))
+    return truncate(fe.rfm_levels(order_facts(t), purchases(t)).select(ID, "recency", "frequency", "monetary"))
 
 
 def scored(t):

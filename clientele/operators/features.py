@@ -58,8 +58,8 @@ def _by_customer(facts: DataFrame) -> DataFrame:
 
 # ---- one grouping of the order facts ---------------------------------------
 
-def rfm_features(facts: DataFrame, dates: DataFrame | None = None) -> DataFrame:
-    """Recency, frequency, monetary value and what follows from them.
+def rfm_levels(facts: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Recency, frequency, monetary value and what follows from them.
 
     The reference date comes from ``dates`` (``base.purchases``) if given, which
     spares a second evaluation of facts that are not stored.
@@ -83,11 +83,15 @@ def rfm_features(facts: DataFrame, dates: DataFrame | None = None) -> DataFrame:
         })
         .withColumn("purchase_frequency_monthly",
                     F.col("frequency") / F.greatest(tenure / F.lit(30.0), F.lit(1.0)))
-        .join(purchase_gaps(facts), CUSTOMER, "left")
-        .select(CUSTOMER, *RFM_FEATURES)
+        .select(CUSTOMER, *RFM_FEATURES[:-1])
     )
 
 
+def rfm_features(facts: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """``rfm_levels`` and the mean gap between purchases."""
+    return rfm_levels(facts, dates).join(purchase_gaps(facts), CUSTOMER, "left").select(CUSTOMER, *RFM_FEATURES)
+
+
 def purchase_gaps(facts: DataFrame) -> DataFrame:
     """Mean of whole days between consecutive purchases, in time order.
 
