@@ -104,7 +104,7 @@ def _draw(sized: DataFrame, max_repeats: int) -> DataFrame:
     edge = (placed.where(inside).withColumn("_sum", F.col("_before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
             .withColumn("extra", (F.col("_sum") + F.col("size") / 2 <= F.col("_rest")).cast("long")).drop("_sum"))
     rest = placed.where(~inside).withColumn("extra", F.when(none | F.col("_rank").isNull(), F.lit(0)).otherwise(
-        F.col("_bin") < F.col("_border")).cast("long"))
+        (F.col("_bin") < F.col("_border")).cast("int")).cast("long"))
     copies = F.col("whole") + F.col("extra")
     return edge.unionByName(rest).select(
         "doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"),
