@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, html_text, license_scan, mixing, multi_index, pii, simhash, toxicity, tree_forest
+from clientele.llm import bpe, html_text, license_scan, mixing, multi_index, pii, simhash, suffix_dedup, toxicity, tree_forest
 from clientele.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -54,7 +58,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_embedding_near_dedup, op3_nearest_neighbours, op4_license_scan, op5_toxicity, op6_bpe, op7_source_mixing,
+        op1_suffix_dedup, op2_embedding_near_dedup, op3_nearest_neighbours, op4_license_scan, op5_toxicity, op6_bpe, op7_source_mixing,
         op8_html_extraction, op9_simhash, op10_pii)}
 
 _OP7 = f"""SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM ({mixing.oracle()})"""
