@@ -45,7 +45,8 @@ from clientele.session import truncate
 
 LENGTH = 100
 GRAM = 32
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
+PIECE_BYTES = 8_000_000  # longer texts are read in pieces
 BUCKET_ROWS = 16384
 SPLITTER_ROWS = 20_000
 _PLACES = LENGTH - GRAM + 1
@@ -114,8 +115,8 @@ def _batch_anchors(docs: np.ndarray, tags: np.ndarray, texts: list[bytes]) -> pd
         if earlier != (docs[i], tags[i]) and earlier[0] < docs[i]:
             rows.append((int(docs[i]), _pack(len(text), _WHOLE, 0, int(tags[i]), 1)))
             continue
-        for o in range(0, len(text) - LENGTH + 1, BATCH_BYTES):
-            pieces.append(text[o:o + BATCH_BYTES + LENGTH - 1])
+        for o in range(0, len(text) - LENGTH + 1, PIECE_BYTES):
+            pieces.append(text[o:o + PIECE_BYTES + LENGTH - 1])
             base.append(o)
             owner.append(i)
     sizes = np.array([len(p) for p in pieces], np.int64)
@@ -147,13 +148,14 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids, tags = frame.doc.to_numpy(np.int64), frame.tag.to_numpy(np.int64)
-            texts = [t.encode("utf-8", "surrogatepass") for t in frame.text]
+            held: list[bytes] = []
             at = load = 0
-            for i, text in enumerate(texts):
-                load += len(text)
-                if load > BATCH_BYTES or i == len(texts) - 1:
-                    yield _batch_anchors(ids[at:i + 1], tags[at:i + 1], texts[at:i + 1])
-                    at, load = i + 1, 0
+            for i, text in enumerate(frame.text):
+                held.append(text.encode("utf-8", "surrogatepass"))
+                load += len(held[-1])
+                if load > BATCH_BYTES or i == len(frame) - 1:
+                    yield _batch_anchors(ids[at:i + 1], tags[at:i + 1], held)
+                    held, at, load = [], i + 1, 0
 
     found = _numbered(docs).mapInPandas(batches, "key long, doc long, packed long")
     again = F.count("*").over(Window.partitionBy("key")) > 1
