@@ -162,16 +162,16 @@ def bit_planes(codes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
 
 
-def within_radius(planes: np.ndarray, queries: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """(query, word, hits): for each pair of a query and a machine word that is
-    not abandoned, the bits of the codes within the radius. Returned as the
-    positions (query index, code index) of all hits.
+def within_radius(planes: np.ndarray, valid: np.ndarray, queries: np.ndarray, q: np.ndarray, w: np.ndarray,
+                  radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """(query, slot) of the codes within the radius, for the given pairs of a query and a machine word of 64 codes.
+
+    ``valid``: the bits of each word that hold a code. A pair is abandoned once all its codes exceed the radius.
     """
     levels = int(radius).bit_length()
-    q, w = (x.ravel() for x in np.meshgrid(np.arange(len(queries)), np.arange(planes.shape[1]), indexing="ij"))
-    counters = [np.zeros(len(q), np.uint64) for _ in range(levels)]
-    beyond = np.zeros(len(q), np.uint64)
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    beyond = ~valid[w]
+    counters = [np.zeros(len(q), np.uint64) for _ in range(levels)]
     start = (1 << levels) - 1 - radius  # counters start here, so that passing the radius is a carry out
     for i in range(levels):
         if start >> i & 1:
@@ -193,15 +193,38 @@ def within_radius(planes: np.ndarray, queries: np.ndarray, radius: int = RADIUS)
     return q[pair], w[pair] * 64 + lane
 
 
-def forest(left: np.ndarray, right: np.ndarray, radius: int = RADIUS, rows: int = 128) -> list[tuple[int, int]]:
-    """Edges (code, smaller code) that connect what the codes of ``left`` and ``right`` within the radius connect."""
-    codes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
-    root, planes, to = np.arange(len(codes)), bit_planes(right), at[len(left):]
-    for start in range(0, len(left), rows):
-        q, c = within_radius(planes, left[start:start + rows], radius)
-        inside = c < len(right)
-        a, b = at[start + q[inside]], to[c[inside]]
-        while True:  # smallest label of both ends, then follow labels
+def forest(codes: np.ndarray, group: np.ndarray, second: np.ndarray, cross: np.ndarray, radius: int = RADIUS,
+           pairs: int = 32768) -> np.ndarray:
+    """Edges (code, smaller code), in rows, that connect what is within the radius in many groups at once.
+
+    ``group``: ascending group number of each code. In a group with ``cross`` the codes that are not ``second`` are
+    compared with those that are, in others all with all.
+    """
+    distinct, node = np.unique(codes, return_inverse=True)
+    root = np.arange(len(distinct))
+    as_target, as_query = ~cross[group] | second, ~cross[group] | ~second
+    rows, groups = np.flatnonzero(as_target), len(cross)
+    count = np.bincount(group[rows], minlength=groups)
+    words = -(-count // 64)
+    offset = np.cumsum(words) - words
+    slot = offset[group[rows]] * 64 + np.arange(len(rows)) - (np.cumsum(count) - count)[group[rows]]
+    stored, held = np.zeros(int(words.sum()) * 64, np.uint64), np.zeros(int(words.sum()) * 64, bool)
+    stored[slot], held[slot] = codes[rows], True
+    owner = np.zeros(len(stored), np.int64)
+    owner[slot] = node[rows]
+    planes, valid = bit_planes(stored), np.packbits(held, bitorder="little").view(np.uint64)
+    asking = np.flatnonzero(as_query)
+    each = words[group[asking]]
+    ends = np.cumsum(each)
+    for begin in range(0, int(ends[-1]) if len(ends) else 0, pairs):
+        at = np.arange(begin, min(begin + pairs, int(ends[-1])))
+        i = np.searchsorted(ends, at, "right")
+        q = asking[i]
+        q, c = within_radius(planes, valid, codes, q, offset[group[q]] + at - (ends[i] - each[i]), radius)
+        a, b = node[q], owner[c]
+        differ = a != b
+        a, b = a[differ], b[differ]
+        while len(a):  # smallest label of both ends, then follow labels
             low = np.minimum(root[a], root[b])
             before = root.copy()
             np.minimum.at(root, root[a], low)
@@ -209,8 +232,8 @@ def forest(left: np.ndarray, right: np.ndarray, radius: int = RADIUS, rows: int
             root = root[root]
             if (root == before).all():
                 break
-    moved = np.nonzero(root != np.arange(len(codes)))[0]
-    return [(codes[i], codes[root[i]]) for i in moved]
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return np.stack([distinct[moved], distinct[root[moved]]], axis=1)
 
 
 def _masks() -> list[np.uint64]:
@@ -231,60 +254,47 @@ def links(codes: DataFrame) -> DataFrame:
               .select("table", "key", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"),
                       (F.col("c") > F.col("other")).alias("second"), "fp"))
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        fp = frame.fp.to_numpy(np.int64).view(np.uint64)
-        second = frame.second.to_numpy(bool)
-        if frame.i.iloc[0] == frame.j.iloc[0]:
-            edges = forest(fp, fp)
-        else:
-            edges = forest(fp[~second], fp[second])
-        out = np.array(edges, np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
-
-    return _grouped(placed, compare)
+    return _grouped(placed)
 
 
-def _grouped(placed: DataFrame, compare) -> DataFrame:
-    """``compare`` per (table, key, i, j), many small groups to a batch.
+def _grouped(placed: DataFrame) -> DataFrame:
+    """Forests of all groups (table, key, i, j), many groups to a batch.
 
-    Rows are dealt by key and sorted, so a group is a run of rows; runs are cut
-    from the stream without one call of Spark per group.
+    Rows are dealt by key and sorted, so a group is a run of rows; a batch is
+    cut at the end of a run, and a run holds at most two blocks.
     """
     keys = ["table", "key", "i", "j"]
 
     def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        out: list[pd.DataFrame] = []
+        held = None
         for frame in frames:
-            last = (frame[keys] != frame[keys].iloc[-1]).any(axis=1).to_numpy()
-            tail = len(frame) if not last.any() else len(frame) - int(np.argmax(last[::-1]))
-            if not last.any():
-                if held and (held[-1][keys].iloc[-1] != frame[keys].iloc[0]).any():
-                    out += _cut(pd.concat(held), keys, compare)
-                    held = []
-                held.append(frame)
-            else:
-                out += _cut(pd.concat([*held, frame.iloc[:tail]]), keys, compare)
-                held = [frame.iloc[tail:]]
-            if out:
-                yield pd.concat(out)
-                out = []
-        if held:
-            out = _cut(pd.concat(held), keys, compare)
-            if out:
-                yield pd.concat(out)
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            new = _starts(frame, keys)
+            held, done = frame.iloc[new[-1]:], frame.iloc[:new[-1]]
+            if len(done):
+                yield _edges(done, keys)
+        if held is not None:
+            yield _edges(held, keys)
 
     return placed.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(runs, "a long, b long")
 
 
-def _cut(frame: pd.DataFrame, keys: list[str], compare) -> list[pd.DataFrame]:
-    change = np.zeros(len(frame), bool)
+def _starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    new = np.zeros(len(frame), bool)
+    new[:1] = True
     for k in keys:
         v = frame[k].to_numpy()
-        change[1:] |= v[1:] != v[:-1]
-    starts = [0, *np.nonzero(change)[0].tolist(), len(frame)]
-    parts = (compare(frame.iloc[a:b]) for a, b in zip(starts, starts[1:]) if b - a > 1)
-    return [p for p in parts if len(p)]
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def _edges(frame: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    starts = _starts(frame, keys)
+    group = np.zeros(len(frame), np.int64)
+    group[starts[1:]] = 1
+    cross = (frame.i.to_numpy() != frame.j.to_numpy())[starts]
+    out = forest(frame.fp.to_numpy(np.int64).view(np.uint64), np.cumsum(group), frame.second.to_numpy(bool), cross).view(np.int64)
+    return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
