@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HASH_BITS = 20
-SAMPLE_TOXIC = 3000
-SAMPLE_CLEAN = 6000
+SAMPLE_TOXIC = 2000
+SAMPLE_CLEAN = 4000
 SCREENED = 4096
 SCREEN_Z = 4.0
 FACTORS = 4
@@ -95,7 +95,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Machine:
         share = min(max(share, 1e-9), 1 - 1e-9)
         return Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), float(np.log(share / (1 - share))))
     terms = screen(rows, toxic)
-    held = [np.searchsorted(terms, r[np.isin(r, terms)]) for r in rows]
+    held = [np.searchsorted(terms, np.intersect1d(r, terms)) for r in rows]
     row = np.repeat(np.arange(len(held)), [len(h) for h in held])
     col = np.concatenate(held).astype(np.int64)
     by_col = np.argsort(col, kind="stable")
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     rows = (joined.select("doc_id", "text", F.col("toxic").cast("int"))
             .mapInPandas(terms, "doc_id long, toxic int, terms array<int>")
             .toPandas().sort_values(["doc_id", "toxic"], kind="stable"))
-    return fit([np.asarray(t, np.int64) for t in rows.terms], rows.toxic.to_numpy(float))
+    return fit(rows.terms.tolist(), rows.toxic.to_numpy(float))
 
 
 class Scorer:
