@@ -136,10 +136,19 @@ def _summary(t):
     return co.run_summary(clustered(t))
 
 
-@retail("n07_segment_list", f"""WITH {_COHORTS} SELECT cohort_name AS rfm_segment, customer_count, percentage, avg_monetary, priority FROM profiles
-  ORDER BY priority DESC, cohort_name LIMIT 5""")
-def _list(t):
-    return rounded(lk.segment_list(playbook_of(t), 5).select("rfm_segment", "customer_count", "percentage", "avg_monetary", "priority"))
+_LIST = f"""WITH {_COHORTS} SELECT cohort_name AS rfm_segment, customer_count, percentage, avg_monetary, priority FROM profiles
+  ORDER BY priority DESC, cohort_id LIMIT """
+
+
+def _listed(n):
+    def run(t):
+        return rounded(lk.segment_list(playbook_of(t), n).select("rfm_segment", "customer_count", "percentage", "avg_monetary", "priority"))
+    return run
+
+
+retail("n07_segment_list", _LIST + "5")(_listed(5))
+retail("n07_segment_list_top_2", _LIST + "2")(_listed(2))
+retail("n07_segment_list_top_4", _LIST + "4")(_listed(4))
 
 
 # Requests: the first word of each segment name a customer belongs to.
@@ -148,7 +157,7 @@ _NAME = "lower(substr(cohort_name, 1, 4))"
 
 @retail("n08_segment_details", f"""WITH {_COHORTS}, wanted AS (SELECT customer_unique_id, CASE WHEN customer_unique_id % 9 = 0 THEN 'nobody' ELSE {_NAME} END AS segment_name FROM clustered),
 names AS (SELECT DISTINCT segment_name FROM wanted),
-hit AS (SELECT segment_name, cohort_name FROM (SELECT n.segment_name, p.cohort_name, row_number() OVER (PARTITION BY n.segment_name ORDER BY priority DESC, cohort_name) AS k
+hit AS (SELECT segment_name, cohort_name FROM (SELECT n.segment_name, p.cohort_name, row_number() OVER (PARTITION BY n.segment_name ORDER BY priority DESC, cohort_id) AS k
   FROM names n JOIN profiles p ON contains(lower(p.cohort_name), n.segment_name)) x WHERE k = 1)
 SELECT customer_unique_id, w.segment_name, cohort_name AS rfm_segment, CASE WHEN cohort_name IS NULL THEN 'Segment ''' || w.segment_name || ''' not found' END AS error
 FROM wanted w LEFT JOIN hit USING (segment_name)""")

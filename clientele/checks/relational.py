@@ -157,3 +157,10 @@ def _kinds(t):
     parts = [df.agg(F.count(pr.columns_of_kind(df, kind)[0]).alias("values_present")).select(F.lit(kind).alias("kind"), "values_present")
              for kind in ("numeric", "text")]
     return parts[0].unionByName(parts[1])
+
+
+@retail("s17_review_texts", "SELECT count(DISTINCT text) AS texts, sum(DISTINCT length(text)) AS lengths FROM documents")
+def _review_texts(t):
+    """Every document is the text of a review."""
+    text = F.col("review_comment_message")
+    return t.order_reviews.agg(F.countDistinct(text).alias("texts"), F.sum_distinct(F.length(text)).cast("long").alias("lengths"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.semantics import contains_ci
 from clientele.operators import intent
+from clientele.operators.segments import SEGMENTS
 
 DEFAULT_TOP_N = 5
 DEFAULT_CATEGORY = "electronics"
@@ -19,6 +20,13 @@ ANOMALY_ACTIONS = ["Review purchase history for pattern changes", "Personal outr
                    "Consider for VIP intervention program"]
 
 
+def rule_position(segment: Column) -> Column:
+    """Place of a segment in the rule order, which decides among equal priorities; unknown names come last."""
+    names = [s["name"] for s in SEGMENTS]
+    at = F.array_position(F.array(*[F.lit(n) for n in names]), segment)
+    return F.when(at > 0, at).otherwise(len(names) + 1)
+
+
 def segment_list(playbook: DataFrame, top_n: int | None = None) -> DataFrame:
     """Segments with defaults for missing fields, highest priority first."""
     rows = playbook.select(
@@ -30,13 +38,13 @@ def segment_list(playbook: DataFrame, top_n: int | None = None) -> DataFrame:
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("marketing_goal", "description", "budget_allocation")],
         F.coalesce("actions", F.array().cast("array<string>")).alias("recommended_actions"),
         F.coalesce("kpis", F.array().cast("array<string>")).alias("kpis"),
-    ).orderBy(F.desc("priority"), "rfm_segment")
+    ).orderBy(F.desc("priority"), rule_position(F.col("rfm_segment")), "rfm_segment")
     return rows if top_n is None else rows.limit(top_n)
 
 
 def segment_array(segments: DataFrame) -> Column:
     """All segments in look-up order as one array value."""
-    key = F.struct((-F.col("priority")).alias("order"), "rfm_segment")
+    key = F.struct((-F.col("priority")).alias("order"), rule_position(F.col("rfm_segment")).alias("place"), "rfm_segment")
     row = F.struct(*segments.columns)
     ordered = F.array_sort(F.collect_list(F.struct(key.alias("key"), row.alias("segment"))))
     return segments.agg(F.transform(ordered, lambda e: e["segment"]).alias("segments")).scalar()
@@ -146,10 +154,11 @@ def dispatch(requests: DataFrame, segments: Column, clusters: DataFrame, anomali
         "segment_name", F.coalesce("segment_name", F.lit("Champions")))
     comparisons = compare_segments(requests.filter(tool == "compare_segments"), segments)
     known = list(smart) + ["get_segment_details", "compare_segments"]
-    errors = requests.filter(~tool.isin(known) | ((tool == "find_behavioral_cluster") & blank)).withColumn(
-        "error", F.when(tool.isin(known), F.lit("Missing parameter: 'category'. Please ask the user which product "
+    is_known = F.coalesce(tool.isin(known), F.lit(False))
+    errors = requests.filter(~is_known | ((tool == "find_behavioral_cluster") & blank)).withColumn(
+        "error", F.when(is_known, F.lit("Missing parameter: 'category'. Please ask the user which product "
                                                 "category they are interested in."))
-        .otherwise(F.concat(F.lit("Unknown tool: "), tool)))
+        .otherwise(F.concat(F.lit("Unknown tool: "), F.coalesce(tool, F.lit("")))))
     return (
         result(routed, "type", "data_source", "reasoning", "segments", "category", "clusters", "total_anomalies",
                "recommended_actions")

@@ -36,8 +36,6 @@ FILL_VALUES = {
 }
 MISSING_CLASS = "unknown"
 
-# A class table up to this many rows is sent to all executors or ranked in one task.
-SMALL_TABLE_ROWS = 50_000
 # One fitting pass evaluates this many exponents per column.
 POWER_STEPS = 11
 
@@ -72,9 +70,6 @@ def fit_encoding(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
         .groupBy("column", F.coalesce("value", F.lit(MISSING_CLASS)).alias("class"))
         .agg(F.max("freq").alias("freq"))
     )
-    if classes.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS:
-        code = F.row_number().over(Window.partitionBy("column").orderBy("class")) - 1
-        return classes.select("column", "class", code.cast("long").alias("code"), "freq")
     ranked = global_rank(classes, ["column", "class"])
     first = ranked.groupBy("column").agg(F.min("rank").alias("first"))  # one row per column
     return ranked.join(F.broadcast(first), "column").select(
@@ -83,14 +78,11 @@ def fit_encoding(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
 
 
 def apply_encoding(df: DataFrame, encoding: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
-    """Add ``<column>_freq`` and ``<column>_encoded`` by look-up."""
-    small = encoding.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS
+    """Add ``<column>_freq`` and ``<column>_encoded`` by look-up; the join strategy follows the measured sizes."""
     for c in present(columns, df):
         table = encoding.filter(F.col("column") == c).select(
             F.col("class").alias("_class"), F.col("code").alias(f"{c}_encoded"), F.col("freq").alias("_freq")
         )
-        if small:
-            table = F.broadcast(table)
         df = (
             df.withColumn("_key", F.coalesce(c, F.lit(MISSING_CLASS)))
             .join(table, F.col("_key") == F.col("_class"), "left")

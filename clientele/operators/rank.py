@@ -104,25 +104,12 @@ def quintile_score(metric: str, id_col: str, cuts: list, reverse: bool = False)
     return F.when(value.isNotNull(), score).cast("int")
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], inline_rows: int = 500_000
-) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of several columns.
 
-    ``percentile`` keeps all distinct values of a column in one task, so it is
-    used only up to ``inline_rows`` rows. Above that, distinct values are
-    counted, range-partitioned, and only the order statistics are fetched.
+    Distinct values are counted, range-partitioned, and only the order
+    statistics are fetched: a few rows per column and probability.
     """
-    if df.count() <= inline_rows:
-        row = df.agg(*[
-            F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probabilities])).alias(c)
-            for c in columns
-        ]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in columns}
-    return _quantiles_by_slices(df, columns, probabilities)
-
-
-def _quantiles_by_slices(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict:
     pairs = F.explode(F.array(*[
         F.struct(F.lit(i).alias("col"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)
     ]))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +41,7 @@ def typed(value: Column, kind: str) -> Column:
 
 # ---- one table --------------------------------------------------------------------
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """All columns as text, so that codes keep their leading zeros."""
     return spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8",
                           inferSchema=False)
@@ -84,73 +83,90 @@ def prepare_table(raw: DataFrame, table: Table) -> DataFrame:
     """Cleaned rows; where keys repeat in the file, its first row of each key."""
     if not table.keep_first:
         return clean(raw, table)
-    place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
-             "_line": F.monotonically_increasing_id()}
+    if "_metadata_path" in raw.columns:  # placed before the rows were dealt out
+        place = {"_file": F.col("_metadata_path"), "_block": F.col("_metadata_block"), "_line": F.col("_metadata_line")}
+    else:
+        place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
+                 "_line": F.monotonically_increasing_id()}
     rows = clean(raw.select("*", *[c.alias(n) for n, c in place.items()]), table, carry=tuple(place))
     return keep_first(rows, list(table.key), list(place)).drop(*place)
 
 
-def find_file(folder: str, table: Table) -> str | None:
-    """The CSV file of a table: any name that ends in the declared suffix."""
-    names = sorted(n for n in os.listdir(folder) if n.endswith(table.file_suffix))
-    return os.path.join(folder, names[0]) if names else None
+def find_files(spark: SparkSession, folder: str, table: Table) -> list[str]:
+    """All CSV files of a table: every name in the folder that ends in the declared suffix.
+
+    The folder is listed by Spark's file system, so it may lie in any store.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    files = [f.getPath() for f in listed if not f.isDirectory()]
+    return sorted(f.toString() for f in files if f.getName().endswith(table.file_suffix))
 
 
-def load_table(spark: SparkSession, table: Table, csv_path: str, out: str, mode: str = "append") -> tuple:
-    """Load one file into ``out/<table>`` and return its audit row.
+def load_table(spark: SparkSession, table: Table, csv_path: str | list[str], out: str, mode: str = "append") -> tuple:
+    """Load the file or files of a table into ``out/<table>`` and return its audit row.
 
-    Row counts are observed during the write, so nothing is read twice.
+    Row counts are observed during the write, so nothing is read twice. A file
+    with line feeds inside its values cannot be split by Spark and is one task;
+    large exports of free text should come as several files.
     """
+    paths = [csv_path] if isinstance(csv_path, str) else list(csv_path)
     if mode not in LOAD_MODES:
         raise ValueError(f"mode must be one of {LOAD_MODES}, not {mode!r}")
     target = f"{out}/{table.name}"
     if mode == "skip" and _has_rows(spark, target):
         return _audit(table.name, "skipped")
     read, written = Observation(f"{table.name} read"), Observation(f"{table.name} written")
-    raw = read_csv(spark, csv_path, multi_line=table.free_text)
-    integers = [f for f in table.fields if f.kind == "int" and f.csv_name in raw.columns]
-    unparsed = F.lit(0)
-    for f in integers:
-        text = missing_to_null(F.col(f.csv_name))
-        unparsed = unparsed + F.when(text.isNotNull() & to_integer(text).isNull(), 1).otherwise(0)
-    raw_observed = raw.observe(read, F.count(F.lit(1)).alias("n"), F.sum(unparsed).alias("unparsed"))
+    raw = read_csv(spark, paths, multi_line=table.free_text)
+    if table.free_text:
+        raw = raw.withColumns({"_metadata_path": F.col("_metadata.file_path"), "_metadata_block": F.col("_metadata.file_block_start"),
+                               "_metadata_line": F.monotonically_increasing_id()})
+    lost = {"integers": F.lit(0), "timestamps": F.lit(0), "decimals": F.lit(0)}
+    for f in table.fields:
+        group = "integers" if f.kind == "int" else "timestamps" if f.kind == "timestamp" else None if f.kind == "string" else "decimals"
+        if group and f.csv_name in raw.columns:
+            text = missing_to_null(F.col(f.csv_name))
+            lost[group] = lost[group] + F.when(text.isNotNull() & typed(text, f.kind).isNull(), 1).otherwise(0)
+    raw_observed = raw.observe(read, F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in lost.items()])
+    if table.free_text:
+        raw_observed = raw_observed.repartition(spark.sparkContext.defaultParallelism)
     rows = prepare_table(raw_observed, table).observe(written, F.count(F.lit(1)).alias("n"))
     rows.write.mode("overwrite" if mode == "truncate" else "append").parquet(target)
-    return _audit(table.name, "loaded", read.get["n"], written.get["n"], read.get["unparsed"] or 0)
+    return _audit(table.name, "loaded", len(paths), read.get["n"], written.get["n"], *[read.get[n] or 0 for n in lost])
 
 
 def _has_rows(spark: SparkSession, path: str) -> bool:
     try:
         return not spark.read.parquet(path).isEmpty()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
 
 
-AUDIT = ("table string, status string, rows_read long, rows_written long, unparsed_integers long, error string")
+AUDIT = ("table string, status string, files int, rows_read long, rows_written long, unparsed_integers long, "
+         "unparsed_timestamps long, unparsed_decimals long, error string")
 
 
-def _audit(name, status, read=0, written=0, unparsed=0, error=None) -> tuple:
-    return (name, status, read, written, unparsed, error)
+def _audit(name, status, files=0, read=0, written=0, integers=0, timestamps=0, decimals=0, error=None) -> tuple:
+    return (name, status, files, read, written, integers, timestamps, decimals, error)
 
 
 def load_all(spark: SparkSession, folder: str, out: str, mode: str = "append") -> DataFrame:
     """Load every table; a missing or broken file does not stop the others.
 
-    Returns the audit frame (table, status, rows_read, rows_written,
-    unparsed_integers, error).
+    Returns the audit frame ``AUDIT``, one row per table.
     """
     audit = []
     for table in TABLES.values():
-        path = find_file(folder, table)
-        if path is None:
+        paths = find_files(spark, folder, table)
+        if not paths:
             audit.append(_audit(table.name, "missing"))
             continue
         try:
-            audit.append(load_table(spark, table, path, out, mode))
+            audit.append(load_table(spark, table, paths, out, mode))
         except Exception as error:
-            audit.append(_audit(table.name, "failed", error=str(error)[:500]))
+            audit.append(_audit(table.name, "failed", error=str(error)))
     return spark.createDataFrame(audit, AUDIT)
 
 

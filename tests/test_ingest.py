@@ -39,7 +39,7 @@ def test_load_all(spark, folder, tmp_path):
 
 def test_load_modes(spark, folder, tmp_path):
     out, table = str(tmp_path / "out"), TABLES["customers"]
-    path = ing.find_file(str(folder), table)
+    path = ing.find_files(spark, str(folder), table)
     for mode, rows in [("append", 2), ("append", 4), ("skip", 4), ("truncate", 2)]:
         ing.load_table(spark, table, path, out, mode)
         assert spark.read.parquet(f"{out}/customers").count() == rows
@@ -64,3 +64,13 @@ def test_feature_list_and_csv(spark, tmp_path):
     assert res.read_feature_list(spark, str(tmp_path / "f")) == ["b", "a"]
     res.write_csv(spark.createDataFrame([(1, ["x", "y"])], "i int, l array<string>"), str(tmp_path / "c"))
     assert spark.read.csv(str(tmp_path / "c"), header=True, escape='"').first()["l"] == '["x","y"]'
+
+
+def test_every_file_of_a_table_is_loaded(spark, folder, tmp_path):
+    (folder / "part2_customers_dataset.csv").write_text("customer_id,customer_unique_id\nc3,u3\n")
+    (folder / "shop_order_payments_dataset.csv").write_text("order_id,payment_sequential,payment_value\no1,1,12.5\no2,1,much\n")
+    out = str(tmp_path / "out")
+    audit = {r.table: r for r in ing.load_all(spark, str(folder), out).collect()}
+    assert (audit["customers"].files, audit["customers"].rows_written) == (2, 3)
+    assert {r.customer_id for r in spark.read.parquet(f"{out}/customers").collect()} == {"c1", "c2", "c3"}
+    assert audit["order_payments"].unparsed_decimals == 1 and audit["order_reviews"].unparsed_timestamps == 0

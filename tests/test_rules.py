@@ -1,6 +1,7 @@
 from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,16 +74,15 @@ def test_tied_recency_edges(spark):
     assert sg.exploration_rfm_scores(df, on_tied_edges="rank").count() == 6
 
 
-def test_global_rank_and_both_quantile_paths(spark):
+def test_global_rank_and_quantiles(spark):
     rows = [(i, float((i * 37) % 50), None if i % 7 == 0 else float(i % 3)) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, x double, y double").repartition(6)
     ranked = rank.global_rank(df, ["x", "id"]).collect()
     want = {r[0]: k for k, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])), 1)}
     assert {r.id: r["rank"] for r in ranked} == want
     p = [0.0, 0.25, 0.5, 0.77, 1.0]
-    inline = rank.exact_quantiles(df, ["x", "y"], p)
-    sliced = rank.exact_quantiles(df, ["x", "y"], p, inline_rows=0)
-    for c in ("x", "y"):
-        assert sliced[c] == pytest.approx(inline[c])
+    sliced = rank.exact_quantiles(df, ["x", "y"], p)
+    for i, c in ((1, "x"), (2, "y")):
+        assert sliced[c] == pytest.approx(list(np.quantile([r[i] for r in rows if r[i] is not None], p)))
     small = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
-    assert rank.exact_quantiles(small, ["v"], [0.25, 0.5, 0.75], inline_rows=0)["v"] == [1.75, 2.5, 4.75]
+    assert rank.exact_quantiles(small, ["v"], [0.25, 0.5, 0.75])["v"] == [1.75, 2.5, 4.75]
