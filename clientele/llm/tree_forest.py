@@ -34,11 +34,11 @@ from clientele.llm.multi_index import usable
 from clientele.session import truncate
 
 COSINE = 0.9
-TREES = 8
+TREES = 6
 SAMPLE = 16384
 LEAF = 512
 BLOCK = 2048
-SPILL = 0.4
+SPILL = 0.3
 
 
 @dataclass
@@ -137,8 +137,7 @@ def _links(frame: pd.DataFrame) -> pd.DataFrame:
     """(rep, n, root) for every vector with a link in this comparison."""
     second = frame.second.to_numpy(bool)
     leaf, same = int(frame.leaf.iloc[0]), frame.i.iloc[0] == frame.j.iloc[0]
-    x = np.stack(frame.vec.to_list())
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.frombuffer(b"".join(frame.unit), np.float64).reshape(len(frame), -1)
     rows = frame.leaves.to_list()
     held = np.full((len(rows), max(map(len, rows))), -1, np.int32)
     for r, values in enumerate(rows):
@@ -182,10 +181,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     model, width = spark.sparkContext.broadcast(forest), margin(d)  # bounded by the sample
     copies = copies.where(F.size("vec") == d)
 
-    @F.pandas_udf("array<int>")
-    def leaves_of(vec: pd.Series) -> pd.Series:
+    @F.pandas_udf("leaves array<int>, unit binary")
+    def leaves_of(vec: pd.Series) -> pd.DataFrame:
         if not len(vec):
-            return pd.Series([], dtype=object)
+            return pd.DataFrame({"leaves": [], "unit": []})
         x = np.stack(vec.to_list())
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         out: list[list[int]] = [[] for _ in range(len(x))]
@@ -193,9 +192,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
             for rows, leaf in tree.leaves(x, width):
                 for r in rows.tolist():
                     out[r].append(leaf)
-        return pd.Series([np.array(sorted(leaves), np.int32) for leaves in out])
+        return pd.DataFrame({"leaves": [np.array(sorted(leaves), np.int32) for leaves in out],
+                             "unit": [row.tobytes() for row in x]})
 
-    placed = truncate(copies.withColumn("leaves", leaves_of("vec")))
+    placed = truncate(copies.withColumn("_l", leaves_of("vec")).select("rep", "copies", "_l.leaves", "_l.unit"))
     each = placed.withColumn("leaf", F.explode("leaves"))
     sizes = each.groupBy("leaf").agg(F.count("*").alias("_n")).withColumn("k", F.ceil(F.col("_n") / BLOCK).cast("int"))
     # one row per leaf: bounded by the sample the trees are fitted on
@@ -203,7 +203,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
              .withColumn("c", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
              .select("leaf", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"),
-                     (F.col("c") > F.col("other")).alias("second"), "rep", "copies", "vec", "leaves"))
+                     (F.col("c") > F.col("other")).alias("second"), "rep", "copies", "unit", "leaves"))
     found = truncate(tasks.groupBy("leaf", "i", "j").applyInPandas(_links, "rep long, n long, root long"))
     counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
     joined = components(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
