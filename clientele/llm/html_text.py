@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model over their DOM.
 
 Each block element of a page is a binary variable: content or not. Its own
-features (element name, words in class and id, length, share of linked text,
-depth) give a unary potential, and each parent-child pair a pairwise potential
+features (element name, words in class and id, whether it holds text, share of
+linked text) give a unary potential, and each parent-child pair a pairwise potential
 by the kind of the child. Messages are passed from the leaves to the root and
 back (sum-product), which on a tree gives exact marginals; a block belongs to
 the main text if its marginal is above one half. The potentials are trained by
@@ -161,13 +161,13 @@ _NAMES = ("article main section div p h1 h2 h3 h4 h5 h6 li ul ol dl dd dt nav he
           "figure figcaption address body html root details summary").split()
 _UNARY = {f: i for i, f in enumerate(
     [f"name:{n}" for n in _NAMES] + ["name:other"] + [f"kind:{k}" for k in _KNOWN] +
-    [f"chars:{i}" for i in range(5)] + [f"links:{i}" for i in range(3)] + ["bias"])}
+    [f"chars:{i}" for i in range(2)] + [f"links:{i}" for i in range(3)] + ["bias"])}
 _CHILD_KINDS = ("block", "list", "frame", "named")
 
 
 def _unary(node: Node) -> list[int]:
     found = [f"name:{node.name if node.name in _NAMES else 'other'}", "bias", *(f"kind:{k}" for k in node.kinds)]
-    found.append(f"chars:{min(4, len(str(node.chars)) if node.chars else 0)}")
+    found.append(f"chars:{min(1, node.chars)}")
     found.append(f"links:{0 if not node.linked else 1 if 2 * node.linked < node.chars else 2}")
     return [_UNARY[f] for f in found]
 

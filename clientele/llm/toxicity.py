@@ -37,6 +37,7 @@ SAMPLE_CLEAN = 4000
 SCREENED = 4096
 SCREEN_Z = 4.0
 FACTORS = 4
+BALANCE = 0.5  # toxic rows weigh at least this share of the clean ones together
 ROUNDS = 300
 THRESHOLD = 0.7
 CACHED_WORDS = 300_000
@@ -115,6 +116,8 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Machine:
             out[present] = np.add.reduceat(x, first_c, axis=0)
         return out
 
+    weight = np.where(toxic == 1, max(1.0, BALANCE * (n - toxic.sum()) / toxic.sum()), 1.0)
+    weight /= weight.sum()
     rng = np.random.default_rng(seed)
     theta = {"w": np.zeros(m), "v": rng.normal(0, 0.05, (m, k)), "b": np.array(0.0)}
     moment = {p: [np.zeros_like(x), np.zeros_like(x)] for p, x in theta.items()}
@@ -122,7 +125,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Machine:
         v = theta["v"][col]
         total = sum_rows(v)
         x = theta["b"] + sum_rows(theta["w"][col]) + 0.5 * ((total * total).sum(1) - sum_rows((v * v).sum(1)))
-        g = (1 / (1 + np.exp(-np.clip(x, -35, 35))) - toxic) / n
+        g = (1 / (1 + np.exp(-np.clip(x, -35, 35))) - toxic) * weight
         pulled = sum_cols(g[row_c])
         grads = {"b": g.sum(), "w": pulled + 2e-5 * theta["w"],
                  "v": sum_cols(g[row_c, None] * total[row_c]) - pulled[:, None] * theta["v"] + 2e-4 * theta["v"]}
