@@ -44,7 +44,7 @@ order_reviews AS (
     UNION ALL SELECT o_orderkey * 2 + 1, o_orderkey, 1 + (o_orderkey * 3) % 5, o_orderdate + INTERVAL 264 HOUR FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH') r
   LEFT JOIN documents d ON d.doc_id = r.order_id
   UNION ALL SELECT -d.doc_id - 1, o.o_orderkey, 1 + (d.doc_id * 7) % 5, o.o_orderdate + INTERVAL 240 HOUR, d.text
-  FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id % (SELECT max(o_orderkey) + 1 FROM orders)
+  FROM documents d LEFT JOIN orders o ON o.o_orderkey = d.doc_id
   WHERE d.doc_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')),
 sellers AS (
   SELECT s_suppkey AS seller_id, lpad(CAST(s_suppkey % 99999 AS VARCHAR), 5, '0') AS seller_zip_code_prefix FROM supplier)

@@ -145,12 +145,11 @@ def derive_retail(spark: SparkSession, sf_dir: str) -> RetailTables:
         (1 + (key * 3) % 5).cast("int").alias("review_score"),
         hours_after(264).alias("review_creation_date"),
     )).join(documents, "order_id", "left")
-    # Documents whose number is not that of a reviewed order are reviews too; their order is found by counting round.
-    last = raw_orders.agg(F.max("o_orderkey")).scalar()
-    rest = documents.join(raw_orders.filter(F.col("o_orderstatus") != "P").select(key.alias("order_id")), "order_id", "left_anti")
-    placed = rest.withColumn("_doc", F.col("order_id")).withColumn("order_id", F.pmod(F.col("_doc"), last + 1))
+    # A document whose number is not that of a reviewed order is a review too: of the order with its number, if there is one.
+    rest = documents.withColumnRenamed("order_id", "_doc").join(
+        raw_orders.filter(F.col("o_orderstatus") != "P").select(key.alias("_doc")), "_doc", "left_anti")
     dates = raw_orders.select(key.alias("order_id"), hours_after(240).alias("review_creation_date"))
-    reviews = reviews.unionByName(placed.join(dates, "order_id").select(
+    reviews = reviews.unionByName(rest.join(dates, F.col("_doc") == F.col("order_id"), "left").select(
         (-F.col("_doc") - 1).alias("review_id"), "order_id", (1 + (F.col("_doc") * 7) % 5).cast("int").alias("review_score"),
         "review_creation_date", "review_comment_message"))
     sellers = supplier.select(
