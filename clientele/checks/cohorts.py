@@ -33,7 +33,7 @@ def playbook_of(t):
     return truncate(res.playbook_rows(document))
 
 
-_COHORTS = CLUSTERED + """,
+COHORTS = CLUSTERED + """,
 profiles AS (SELECT cohort_id, cohort_name, priority, count(*) AS customer_count,
   round(count(*) * 100.0 / (SELECT count(*) FROM clustered), 2) AS percentage, round(avg(recency), 1) AS avg_recency,
   round(avg(frequency), 2) AS avg_frequency, round(CAST(sum(monetary) AS DOUBLE) / count(*), 2) AS avg_monetary,
@@ -42,7 +42,7 @@ profiles AS (SELECT cohort_id, cohort_name, priority, count(*) AS customer_count
   count(*) FILTER (WHERE cluster = -1) AS includes_noise_points FROM clustered GROUP BY 1, 2, 3)"""
 
 
-@retail("g07_cohort_profiles", f"WITH {_COHORTS} SELECT * FROM profiles")
+@retail("g07_cohort_profiles", f"WITH {COHORTS} SELECT * FROM profiles")
 def _cohorts(t):
     df = co.cohort_profiles(clustered(t)).drop("description", "marketing_goal", "recommended_actions", "kpis", "budget_allocation")
     return rounded(df.withColumn("cluster_ids", F.array_join("cluster_ids", ",")))
@@ -98,7 +98,7 @@ _HINT = """concat_ws('; ', CASE WHEN value IN ('electronics','computers') THEN '
   WHEN value IN ('beauty','health') THEN 'Tutorial content, routine builders' END,
   CASE WHEN avg_monetary > 500 THEN 'Premium product recommendations' WHEN avg_monetary < 100 THEN 'Value bundles, budget-friendly options' END,
   CASE WHEN avg_frequency > 3 THEN 'Subscription/auto-replenish offers' WHEN avg_frequency = 1 THEN 'Discovery content, category expansion' END)"""
-_HINTED = _TOPS + ", means AS " + _CLUSTERS.split("means AS ", 1)[1] + f""",
+HINTED = _TOPS + ", means AS " + _CLUSTERS.split("means AS ", 1)[1] + f""",
 hinted AS (SELECT m.cluster_id, m.size, n.primary_cohort, m.avg_monetary, {_HINT} AS personalization_hint FROM means m
   JOIN ranked r ON r.cluster = m.cluster_id AND r.kind = 'category' AND r.place = 1 JOIN main n ON n.cluster_id = m.cluster_id)"""
 
@@ -107,7 +107,7 @@ def hinted(t):
     return truncate(co.cluster_profiles(_with_places(t), "favorite_category"))
 
 
-@retail("g10_personalization_hint", f"WITH {_HINTED} SELECT cluster_id, personalization_hint FROM hinted")
+@retail("g10_personalization_hint", f"WITH {HINTED} SELECT cluster_id, personalization_hint FROM hinted")
 def _hint(t):
     return rounded(hinted(t).select("cluster_id", "personalization_hint"))
 
@@ -118,7 +118,7 @@ def _output(t):
     return rounded(co.customer_output(clustered(t)))
 
 
-@retail("g12_playbook", f"""WITH {_COHORTS} SELECT cohort_name, customer_count, percentage, priority, avg_monetary AS avg_customer_value FROM profiles""")
+@retail("g12_playbook", f"""WITH {COHORTS} SELECT cohort_name, customer_count, percentage, priority, avg_monetary AS avg_customer_value FROM profiles""")
 def _playbook(t):
     return rounded(playbook_of(t).select("cohort_name", "customer_count", "percentage", "priority", "avg_customer_value"))
 
@@ -136,7 +136,7 @@ def _summary(t):
     return co.run_summary(clustered(t))
 
 
-_LIST = f"""WITH {_COHORTS} SELECT cohort_name AS rfm_segment, customer_count, percentage, avg_monetary, priority FROM profiles
+_LIST = f"""WITH {COHORTS} SELECT cohort_name AS rfm_segment, customer_count, percentage, avg_monetary, priority FROM profiles
   ORDER BY priority DESC, cohort_id LIMIT """
 
 
@@ -155,7 +155,7 @@ retail("n07_segment_list_top_4", _LIST + "4")(_listed(4))
 _NAME = "lower(substr(cohort_name, 1, 4))"
 
 
-@retail("n08_segment_details", f"""WITH {_COHORTS}, wanted AS (SELECT customer_unique_id, CASE WHEN customer_unique_id % 9 = 0 THEN 'nobody' ELSE {_NAME} END AS segment_name FROM clustered),
+@retail("n08_segment_details", f"""WITH {COHORTS}, wanted AS (SELECT customer_unique_id, CASE WHEN customer_unique_id % 9 = 0 THEN 'nobody' ELSE {_NAME} END AS segment_name FROM clustered),
 names AS (SELECT DISTINCT segment_name FROM wanted),
 hit AS (SELECT segment_name, cohort_name FROM (SELECT n.segment_name, p.cohort_name, row_number() OVER (PARTITION BY n.segment_name ORDER BY priority DESC, cohort_id) AS k
   FROM names n JOIN profiles p ON contains(lower(p.cohort_name), n.segment_name)) x WHERE k = 1)
@@ -169,7 +169,7 @@ def _details(t):
     return found.select(CUSTOMER, "segment_name", F.col("segment.rfm_segment").alias("rfm_segment"), "error")
 
 
-@retail("n09_clusters_by_hint", f"""WITH {_HINTED} SELECT cluster_id, size, primary_cohort, personalization_hint, avg_monetary
+@retail("n09_clusters_by_hint", f"""WITH {HINTED} SELECT cluster_id, size, primary_cohort, personalization_hint, avg_monetary
   FROM hinted WHERE contains(lower(personalization_hint), 'tech')""")
 def _by_hint(t):
     return rounded(co.clusters_by_hint(hinted(t), "Tech"))
@@ -181,7 +181,7 @@ def _anomalies(t):
     return rounded(co.value_behaviour_anomalies(clustered(t)))
 
 
-@retail("n11_comparison", f"""WITH {_COHORTS}, pairs AS (SELECT a.cohort_name AS first, b.cohort_name AS second, a.avg_monetary AS v1, b.avg_monetary AS v2,
+@retail("n11_comparison", f"""WITH {COHORTS}, pairs AS (SELECT a.cohort_name AS first, b.cohort_name AS second, a.avg_monetary AS v1, b.avg_monetary AS v2,
   a.priority AS p1, b.priority AS p2 FROM profiles a JOIN profiles b ON a.cohort_id < b.cohort_id)
 SELECT first, second, concat_ws(' | ', CASE WHEN v1 > v2 AND v2 > 0 THEN first || ' has ' || printf('%.1f', v1 / v2) || 'x higher average spend' END,
   CASE WHEN p1 > p2 THEN first || ' has higher marketing priority' WHEN p2 > p1 THEN second || ' has higher marketing priority' END) AS insights FROM pairs""")

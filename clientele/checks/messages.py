@@ -6,8 +6,8 @@ of twelve requests in front, chosen by conversation and turn.
 
 from pyspark.sql import functions as F
 
-from clientele.checks.cohorts import clustered, hinted, playbook_of
-from clientele.checks.registry import query, rounded
+from clientele.checks.cohorts import COHORTS, HINTED, clustered, hinted, playbook_of
+from clientele.checks.registry import query, retail, rounded
 from clientele.operators import cohorts as co
 from clientele.operators import conversation as cv
 from clientele.operators import intent as it
@@ -202,21 +202,80 @@ def _answers(spark, sf_dir):
     return lk.segment_array(lk.segment_list(playbook_of(t))), hinted(t), truncate(co.value_behaviour_anomalies(clustered(t)))
 
 
-@query("n04_routed_requests")
+def _names_of(segments):
+    return F.array_join(F.transform(segments, lambda s: F.concat_ws(":", s["rfm_segment"], s["priority"], s["customer_count"])), ", ")
+
+
+_ANSWERS = HINTED + ", profiles AS " + COHORTS.split("profiles AS ", 1)[1] + """,
+ordered AS (SELECT *, row_number() OVER (ORDER BY priority DESC, cohort_id) AS k FROM profiles),
+tops AS (SELECT n, coalesce(string_agg(cohort_name || ':' || priority || ':' || customer_count, ', ' ORDER BY k), '') AS names, count(cohort_name) AS total
+  FROM (SELECT unnest(range(0, 1000)) AS n) g LEFT JOIN ordered o ON o.k <= g.n GROUP BY 1),
+hits AS (SELECT c.category, h.* FROM (VALUES ('tech'), ('electronics'), ('fashion'), ('home'), ('beauty'), ('health'), ('sports'), ('computers')) c(category)
+  JOIN hinted h ON contains(lower(h.personalization_hint), c.category)),
+odd AS (SELECT count(*) AS n FROM clustered WHERE cohort_name IN ('Champions', 'Loyal Customers', 'At Risk') AND cluster = -1)"""
+
+
+@retail("n04_category_clusters", f"""WITH {_ANSWERS} SELECT category, cluster_id, size, primary_cohort, personalization_hint,
+  round(avg_monetary, 2) AS avg_monetary FROM hits""")
+def _category_clusters(t):
+    clusters = hinted(t)
+    return rounded(lk.category_clusters(clusters, lk.known_categories(clusters.sparkSession)))
+
+
+@query("n04_routed_requests", f"""WITH {SCORED}, {_ANSWERS}
+SELECT conv_id, turn, CASE column_selection WHEN 'rfm_segment' THEN 'segment_overview' WHEN 'hdbscan_cluster' THEN 'behavioral_targeting' ELSE 'anomaly_detection' END AS type,
+  CASE column_selection WHEN 'both' THEN 'both_rfm_and_hdbscan' ELSE column_selection END AS data_source,
+  CASE rule WHEN 1 THEN 'Anomaly + value indicators → Use both RFM and HDBSCAN' WHEN 2 THEN 'Targeting with category → Use HDBSCAN clusters'
+    WHEN 3 THEN 'Anomaly detection → Use both RFM and HDBSCAN' WHEN 4 THEN 'Campaign targeting → Use HDBSCAN clusters'
+    ELSE 'Strategic/overview query → Use RFM segments (100% coverage)' END AS reasoning,
+  CASE WHEN column_selection = 'rfm_segment' THEN names END AS segments, CASE WHEN column_selection = 'rfm_segment' THEN total END AS total_segments,
+  CASE WHEN column_selection = 'hdbscan_cluster' THEN coalesce(i.category, 'electronics') END AS category,
+  CASE WHEN column_selection = 'hdbscan_cluster' THEN (SELECT count(*) FROM hits h WHERE h.category = coalesce(i.category, 'electronics')) END AS total_clusters,
+  CASE WHEN column_selection = 'both' THEN (SELECT n FROM odd) END AS total_anomalies,
+  CASE WHEN column_selection = 'both' THEN 'Value-Behavior Mismatch: High RFM value + HDBSCAN noise' END AS anomaly,
+  CASE WHEN column_selection = 'both' THEN 'Review purchase history for pattern changes|Personal outreach to understand behavior|Consider for VIP intervention program' END AS actions
+FROM i JOIN tops ON tops.n = least(coalesce(i.top_n, 5), 999) WHERE role = 'user'""")
 def _routed(spark, sf_dir):
     requests = truncate(messages(spark, sf_dir).filter(F.col("role") == "user"))
     df = lk.route(requests, *_answers(spark, sf_dir))
-    return df.select("conv_id", "turn", "type", "data_source", "reasoning", F.to_json("segments").alias("segments"), "category",
-                     F.to_json("clusters").alias("clusters"), "total_anomalies")
-
-
-@query("n17_tool_results")
+    return rounded(df.select(
+        "conv_id", "turn", "type", "data_source", "reasoning", _names_of(F.col("segments")).alias("segments"), "total_segments", "category",
+        "total_clusters", "total_anomalies", F.concat("anomaly_type", F.lit(": "), "detection_logic").alias("anomaly"),
+        F.array_join("recommended_actions", "|").alias("actions")))
+
+
+# Each keyword finds the first segment, in look-up order, whose name contains it.
+_KNOWN = "known AS (SELECT * FROM (SELECT w.name, w.pos, o.*, row_number() OVER (PARTITION BY w.name ORDER BY o.k) AS place FROM (VALUES " + ", ".join(
+    f"('{k.title()}', {i})" for i, k in enumerate(it.COHORTS)) + """) w(name, pos)
+  JOIN ordered o ON contains(lower(o.cohort_name), lower(w.name))) y WHERE place = 1)"""
+
+
+@query("n17_tool_results", f"""WITH {_BEFORE}, {_ANSWERS}, {_KNOWN},
+q AS (SELECT conv_id || '-' || turn AS request_id, turn, raw, referred,
+  CASE WHEN comparing AND n_named >= 2 THEN 'compare_segments' WHEN referred IS NOT NULL THEN 'get_segment_details'
+    WHEN prioritising THEN 'smart_customer_query' ELSE 'find_behavioral_cluster' END AS tool FROM z),
+compared AS (SELECT request_id, string_agg(cohort_name || ':' || priority || ':' || customer_count, ', ' ORDER BY pos) AS names, list(cohort_name ORDER BY pos) AS n,
+  list(avg_monetary ORDER BY pos) AS v, list(priority ORDER BY pos) AS p FROM q JOIN known ON list_contains(q.raw, known.name) WHERE tool = 'compare_segments' GROUP BY 1)
+SELECT q.request_id, tool, CASE tool WHEN 'compare_segments' THEN 'segment_comparison' WHEN 'smart_customer_query' THEN 'segment_overview'
+    WHEN 'get_segment_details' THEN CASE WHEN known.name IS NOT NULL THEN 'segment_details' END ELSE CASE WHEN turn > 0 THEN 'behavioral_targeting' END END AS type,
+  CASE tool WHEN 'compare_segments' THEN coalesce(compared.names, '') WHEN 'smart_customer_query' THEN (SELECT names FROM tops WHERE tops.n = 5) END AS segments,
+  CASE WHEN tool = 'get_segment_details' THEN known.cohort_name END AS segment,
+  CASE WHEN tool = 'compare_segments' THEN concat_ws(' | ', CASE WHEN v[1] > v[2] AND v[2] > 0 THEN compared.n[1] || ' has ' || printf('%.1f', v[1] / v[2]) || 'x higher average spend' END,
+    CASE WHEN p[1] > p[2] THEN compared.n[1] || ' has higher marketing priority' WHEN p[2] > p[1] THEN compared.n[2] || ' has higher marketing priority' END) END AS insights,
+  CASE WHEN tool = 'find_behavioral_cluster' AND turn > 0 THEN 'electronics' END AS category,
+  CASE WHEN tool = 'find_behavioral_cluster' AND turn > 0 THEN (SELECT count(*) FROM hits WHERE hits.category = 'electronics') END AS total_clusters,
+  CASE WHEN tool = 'find_behavioral_cluster' AND turn = 0 THEN 'Missing parameter: ''category''. Please ask the user which product category they are interested in.'
+    WHEN tool = 'get_segment_details' AND known.name IS NULL THEN concat('Segment ', chr(39), referred, chr(39), ' not found') END AS error
+FROM q LEFT JOIN compared USING (request_id) LEFT JOIN known ON known.name = q.referred""")
 def _tools(spark, sf_dir):
     asked = truncate(cv.resolve_requests(messages(spark, sf_dir)))
     requests = asked.select(
         F.concat_ws("-", "conv_id", "turn").alias("request_id"), F.coalesce("tool", F.lit("find_behavioral_cluster")).alias("tool"),
         "query", F.col("segment").alias("segment_name"), F.when(F.col("turn") > 0, "electronics").alias("category"), "segment_names")
-    return lk.dispatch(truncate(requests), *_answers(spark, sf_dir))
+    df = lk.dispatch(truncate(requests), *_answers(spark, sf_dir))
+    return rounded(df.select(
+        "request_id", "tool", "type", _names_of(F.col("segments")).alias("segments"), F.col("segment.rfm_segment").alias("segment"),
+        F.array_join("insights", " | ").alias("insights"), "category", "total_clusters", "error"))
 
 
 @query("t01_context_stream", ORACLES_N14)

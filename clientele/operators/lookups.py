@@ -6,7 +6,7 @@ subquery), so looking a request up needs no join and no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.semantics import contains_ci
@@ -18,6 +18,10 @@ DEFAULT_CATEGORY = "electronics"
 # What to do about an anomaly.
 ANOMALY_ACTIONS = ["Review purchase history for pattern changes", "Personal outreach to understand behavior",
                    "Consider for VIP intervention program"]
+ANOMALY_TYPE = "Value-Behavior Mismatch"
+DETECTION_LOGIC = "High RFM value + HDBSCAN noise"
+ROUTED = ["type", "data_source", "reasoning", "segments", "total_segments", "category", "total_clusters", "anomaly_type",
+          "detection_logic", "total_anomalies", "recommended_actions"]
 
 
 def rule_position(segment: Column) -> Column:
@@ -82,16 +86,20 @@ def compare_segments(requests: DataFrame, segments: Column, names: str = "segmen
 
 
 def category_clusters(clusters: DataFrame, categories: DataFrame) -> DataFrame:
-    """(category, clusters): clusters whose hint contains the category.
+    """(category, cluster record): one row per requested category and cluster whose hint contains it.
 
-    ``categories`` has one row per distinct requested category.
+    ``categories`` has one row per distinct requested category. The rows stay
+    apart: a category may match any number of clusters.
     """
     hits = categories.join(F.broadcast(_hints(clusters)), contains_ci(F.col("hint"), F.col("category")))
-    matching = hits.select("category", "hint").join(
-        clusters.withColumnRenamed("personalization_hint", "hint"), "hint")
-    entry = F.struct((-F.col("size")).alias("order"), "cluster_id", "size", "primary_cohort",
-                     F.round("avg_monetary", 2).alias("avg_monetary"))
-    return matching.groupBy("category").agg(F.array_sort(F.collect_list(entry)).alias("clusters"))
+    # at most one row per known category and hint text
+    return clusters.withColumnRenamed("personalization_hint", "hint").join(F.broadcast(hits), "hint").select(
+        "category", "cluster_id", "size", "primary_cohort", F.col("hint").alias("personalization_hint"),
+        F.round("avg_monetary", 2).alias("avg_monetary"))
+
+
+def known_categories(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(c,) for c in intent.CATEGORIES], "category string")
 
 
 def _hints(clusters: DataFrame) -> DataFrame:
@@ -104,42 +112,42 @@ def route(requests: DataFrame, segments: Column, clusters: DataFrame, anomalies:
     """Answer each request by its intent.
 
     Adds type, data_source, reasoning and, depending on the type, ``segments``
-    (names), ``category`` with ``clusters`` (ids), or ``total_anomalies`` with
-    ``recommended_actions``.
+    (whole records) with ``total_segments``, ``category`` with
+    ``total_clusters``, or ``total_anomalies`` with ``anomaly_type``,
+    ``detection_logic`` and ``recommended_actions``. The clusters of a category
+    are the rows of ``category_clusters`` with that category and the anomalies
+    those of ``anomalies``; no request carries a copy of either.
     """
     asked = intent.analyse(requests, text).withColumn("_all", segments)
     target = F.col("analysis.column_selection")
     total = anomalies.agg(F.count("*").alias("n")).scalar()
     top_n = F.coalesce("params.top_n", F.lit(DEFAULT_TOP_N))
+    overview, targeting, both = target == "rfm_segment", target == "hdbscan_cluster", target == "both"
     asked = asked.withColumns({
-        "type": F.when(target == "rfm_segment", "segment_overview").when(
-            target == "hdbscan_cluster", "behavioral_targeting").otherwise("anomaly_detection"),
-        "data_source": F.when(target == "both", "both_rfm_and_hdbscan").otherwise(target),
+        "type": F.when(overview, "segment_overview").when(targeting, "behavioral_targeting").otherwise("anomaly_detection"),
+        "data_source": F.when(both, "both_rfm_and_hdbscan").otherwise(target),
         "reasoning": F.col("analysis.reasoning"),
-        "segments": F.when(target == "rfm_segment", F.transform(
-            F.slice("_all", 1, F.greatest(top_n, F.lit(0))), lambda s: s["rfm_segment"])),
-        "category": F.when(target == "hdbscan_cluster", F.coalesce("params.category", F.lit(DEFAULT_CATEGORY))),
-        "total_anomalies": F.when(target == "both", total),
-        "recommended_actions": F.when(target == "both", F.array(*[F.lit(a) for a in ANOMALY_ACTIONS])),
-    })
-    asked = asked.drop("_all")
-    wanted = requests.sparkSession.createDataFrame([(c,) for c in intent.CATEGORIES], "category string")
-    answers = category_clusters(clusters, wanted)
-    ids = F.transform("clusters", lambda c: c["cluster_id"])
-    # At most one row per known category.
-    return asked.join(F.broadcast(answers), "category", "left").withColumn(
-        "clusters", F.when(target == "hdbscan_cluster", F.coalesce(ids, F.array().cast("array<int>"))))
+        "segments": F.when(overview, F.slice("_all", 1, F.greatest(top_n, F.lit(0)))),
+        "category": F.when(targeting, F.coalesce("params.category", F.lit(DEFAULT_CATEGORY))),
+        "anomaly_type": F.when(both, ANOMALY_TYPE),
+        "detection_logic": F.when(both, DETECTION_LOGIC),
+        "total_anomalies": F.when(both, total),
+        "recommended_actions": F.when(both, F.array(*[F.lit(a) for a in ANOMALY_ACTIONS])),
+    }).withColumn("total_segments", F.when(overview, F.size("segments"))).drop("_all")
+    counts = category_clusters(clusters, known_categories(requests.sparkSession)).groupBy("category").agg(
+        F.count("*").alias("_n"))
+    # at most one row per known category
+    return asked.join(F.broadcast(counts), "category", "left").withColumn(
+        "total_clusters", F.when(targeting, F.coalesce("_n", F.lit(0)))).drop("_n")
 
 
 def dispatch(requests: DataFrame, segments: Column, clusters: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """(request_id, tool, result): each tool request with its JSON result.
+    """Each tool request (request_id, tool) with the fields of its answer and the same as JSON in ``result``.
 
     ``requests`` has request_id, tool, query, segment_name, category and
-    segment_names. A missing argument or an unknown tool gives an error.
+    segment_names. A missing argument or an unknown tool gives an error. A
+    field that an answer does not have is null, and absent from the JSON.
     """
-    def result(df: DataFrame, *columns) -> DataFrame:
-        return df.select("request_id", "tool", F.to_json(F.struct(*columns)).alias("result"))
-
     tool = F.col("tool")
     blank = F.trim(F.coalesce("category", F.lit(""))) == ""
     smart = {
@@ -150,8 +158,8 @@ def dispatch(requests: DataFrame, segments: Column, clusters: DataFrame, anomali
     asks = requests.filter(tool.isin(list(smart)) & ~((tool == "find_behavioral_cluster") & blank)).select(
         "request_id", "tool", F.coalesce(*[F.when(tool == n, t) for n, t in smart.items()]).alias("text"))
     routed = route(asks, segments, clusters, anomalies)
-    details = requests.filter(tool == "get_segment_details").withColumn(
-        "segment_name", F.coalesce("segment_name", F.lit("Champions")))
+    details = segment_details(requests.filter(tool == "get_segment_details").withColumn(
+        "segment_name", F.coalesce("segment_name", F.lit("Champions"))), segments)
     comparisons = compare_segments(requests.filter(tool == "compare_segments"), segments)
     known = list(smart) + ["get_segment_details", "compare_segments"]
     is_known = F.coalesce(tool.isin(known), F.lit(False))
@@ -159,10 +167,16 @@ def dispatch(requests: DataFrame, segments: Column, clusters: DataFrame, anomali
         "error", F.when(is_known, F.lit("Missing parameter: 'category'. Please ask the user which product "
                                                 "category they are interested in."))
         .otherwise(F.concat(F.lit("Unknown tool: "), F.coalesce(tool, F.lit("")))))
-    return (
-        result(routed, "type", "data_source", "reasoning", "segments", "category", "clusters", "total_anomalies",
-               "recommended_actions")
-        .unionByName(result(segment_details(details, segments), "segment", "error"))
-        .unionByName(result(comparisons, "segments", "insights", "error"))
-        .unionByName(result(errors, "error"))
+
+    def found(df: DataFrame, kind: str, *columns: str) -> DataFrame:
+        right = F.col("error").isNull()
+        return df.withColumns({"type": F.when(right, kind), "data_source": F.when(right, "rfm_segment")}).select(
+            "request_id", "tool", "type", "data_source", "error", *[F.when(right, F.col(c)).alias(c) for c in columns])
+
+    answers = (
+        routed.select("request_id", "tool", *ROUTED)
+        .unionByName(found(details, "segment_details", "segment"), allowMissingColumns=True)
+        .unionByName(found(comparisons, "segment_comparison", "segments", "insights"), allowMissingColumns=True)
+        .unionByName(errors.select("request_id", "tool", "error"), allowMissingColumns=True)
     )
+    return answers.withColumn("result", F.to_json(F.struct(*[c for c in answers.columns if c not in ("request_id", "tool")])))

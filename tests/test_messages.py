@@ -67,3 +67,31 @@ def test_context_ignores_order_and_repeats(spark):
     assert {r.conv_id: r for r in again} == want
     before = {(r.conv_id, r.turn): r.discussed for r in cv.with_context_before(df).collect()}
     assert before[(1, 0)] == [] and before[(1, 1)] == ["Lost"] and before[(1, 2)] == ["Lost", "Champions"]
+
+
+def test_every_tool_request_is_answered(spark):
+    book = spark.createDataFrame(
+        [("Champions", 10, 90.0, 3), ("Lost", 2, 10.0, 7)], "cohort_name string, priority int, avg_customer_value double, customer_count long")
+    for c, kind in {"percentage": "double", "marketing_goal": "string", "description": "string", "budget_allocation": "string",
+                    "actions": "array<string>", "kpis": "array<string>"}.items():
+        book = book.withColumn(c, F.lit(None).cast(kind))
+    clusters = spark.createDataFrame([(1, 5, "Lost", "Tech-focused messaging", 9.0), (2, 6, "Lost", "Tech-focused messaging", 8.0)],
+                                     "cluster_id int, size long, primary_cohort string, personalization_hint string, avg_monetary double")
+    anomalies = spark.createDataFrame([(1,), (2,), (3,)], "customer_unique_id long")
+    rows = [("a", None, None, None, None, None), ("b", "nonsense", None, None, None, None), ("c", "find_behavioral_cluster", None, None, " ", None),
+            ("d", "find_behavioral_cluster", None, None, "tech", None), ("e", "get_segment_details", None, "nobody", None, None),
+            ("f", "get_segment_details", None, None, None, None), ("g", "compare_segments", None, None, None, ["Champions", "Lost"]),
+            ("h", "compare_segments", None, None, None, None), ("i", "detect_customer_anomalies", None, None, None, None),
+            ("j", "smart_customer_query", "top 1 segments", None, None, None)]
+    requests = spark.createDataFrame(
+        rows, "request_id string, tool string, query string, segment_name string, category string, segment_names array<string>")
+    done = lk.dispatch(requests, lk.segment_array(lk.segment_list(book)), clusters, anomalies).collect()
+    got = {r.request_id: r for r in done}
+    assert len(done) == len(rows) and all(got[r[0]].result != "{}" for r in rows)
+    assert [got[k].error for k in "abe"] == ["Unknown tool: ", "Unknown tool: nonsense", "Segment 'nobody' not found"]
+    assert got["c"].error.startswith("Missing parameter") and got["h"].error == "No segments provided for comparison"
+    assert got["d"].total_clusters == 2 and got["i"].total_anomalies == 3 and len(got["i"].recommended_actions) == 3
+    assert got["f"].segment.rfm_segment == "Champions" and len(got["g"].segments) == 2 and got["h"].type is None
+    assert [s.rfm_segment for s in got["j"].segments] == ["Champions"] and got["j"].total_segments == 1
+    matched = lk.category_clusters(clusters, lk.known_categories(spark)).collect()
+    assert {(r.category, r.cluster_id) for r in matched} == {("tech", 1), ("tech", 2)}
