@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Regex, normalizers, pre_tokenizers
 
+from clientele.llm.common import as_text, with_long
+
 CACHED_PIECES = 200_000
 #: Separators that str.split() takes for white space and the vocabulary's pattern does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -199,7 +201,7 @@ def encode_texts(docs: DataFrame, path: str | None = None, text: str = "text", t
 
     ``path``: the vocabulary file, as every executor sees it.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if texts_out:
         schema += ", ids array<int>, decoded string"
     place = path or default_path()
@@ -210,7 +212,7 @@ def encode_texts(docs: DataFrame, path: str | None = None, text: str = "text", t
         def rows(ids, texts):
             for doc_id, (n, joined, decoded) in zip(ids, encoder.encode(texts)):
                 digest = [hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in (joined, decoded)]
-                yield (None if pd.isna(doc_id) else int(doc_id), n, *digest,
+                yield (doc_id, n, *digest,
                        *([[int(i) for i in joined.split()], decoded] if texts_out else []))
 
         for frame in frames:
@@ -223,4 +225,4 @@ def encode_texts(docs: DataFrame, path: str | None = None, text: str = "text", t
                     at, load_ = i + 1, 0
             yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in schema.split(", ")], dtype=object)
 
-    return docs.select("doc_id", text).mapInPandas(batches, schema)
+    return with_long(docs.select(*as_text("doc_id"), text).mapInPandas(batches, schema), "doc_id")

@@ -15,7 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_texts(df: DataFrame, columns: list[str], schema: str,
+def as_text(*ids: str) -> list[F.Column]:
+    """Ids as text: next to nulls, pandas would hold them as floats, which blurs ids beyond 2^53."""
+    return [F.col(c).cast("string").alias(c) for c in ids]
+
+
+def with_long(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("long"))
+
+
+def map_texts(df: DataFrame, columns: list[str | F.Column], schema: str,
               row: Callable[..., tuple]) -> DataFrame:
     """``row`` applied to the named columns of each row, in Arrow batches.
 

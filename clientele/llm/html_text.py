@@ -31,6 +31,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from clientele.llm.common import as_text, with_long
+
 _BLOCKS = frozenset(  # fixed values: block elements of HTML
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table "
@@ -330,7 +332,8 @@ def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = [main_text(h, handle.value) for h in frame.html]
-            yield pd.DataFrame({"page_id": frame.page_id.astype("Int64"), "url": frame.url, "text": texts,
+            yield pd.DataFrame({"page_id": frame.page_id, "url": frame.url, "text": texts,
                                 "n_chars": [len(t) for t in texts]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(batches, "page_id long, url string, text string, n_chars long")
+    schema = "page_id string, url string, text string, n_chars long"
+    return with_long(pages.select(*as_text("page_id"), "url", "html").mapInPandas(batches, schema), "page_id")

@@ -27,10 +27,9 @@ from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from clientele.llm.common import map_texts
+from clientele.llm.common import as_text, map_texts, with_long
 
 #: Notices as their licenses word them (fixed texts).
 TEMPLATES = {
@@ -178,6 +177,7 @@ def find(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     def row(doc_id, text):
         found = scan(text, index(fixed), coverage)
         listed = ",".join(f"{n}:{a}:{b}:{c:.3f}" for n, a, b, c in found)
-        return None if pd.isna(doc_id) else int(doc_id), len(found), max((c for *_, c in found), default=0.0), listed
+        return doc_id, len(found), max((c for *_, c in found), default=0.0), listed
 
-    return map_texts(docs, ["doc_id", "text"], "doc_id long, n_matches long, best_coverage double, matches string", row)
+    schema = "doc_id string, n_matches long, best_coverage double, matches string"
+    return with_long(map_texts(docs, [*as_text("doc_id"), "text"], schema, row), "doc_id")

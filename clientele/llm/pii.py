@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.common import as_text, with_long
+
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.97
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -302,7 +304,7 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
 def find(docs: DataFrame, detector: Detector | None = None) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row; counts are of base spans."""
     handle = docs.sparkSession.sparkContext.broadcast(detector or train())
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = "doc_id string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
     names = [c.split(" ")[0] for c in schema.split(", ")]
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,11 +314,11 @@ def find(docs: DataFrame, detector: Detector | None = None) -> DataFrame:
             for doc_id, text in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
                 base, every = model.spans(text)
                 count = [sum(k == i for _, k, _ in base) for i in range(4)]
-                out.append((None if pd.isna(doc_id) else int(doc_id), *count,
+                out.append((doc_id, *count,
                             hashlib.sha256(listed(base).encode()).hexdigest(), listed(every)))
             yield pd.DataFrame(out, columns=names, dtype=object)
 
-    return docs.select("doc_id", "text").mapInPandas(batches, schema)
+    return with_long(docs.select(*as_text("doc_id"), "text").mapInPandas(batches, schema), "doc_id")
 
 
 def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:

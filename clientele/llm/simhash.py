@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import components
+from clientele.llm.common import as_text, components, with_long
 from clientele.session import truncate
 
 SHINGLE = 4
@@ -149,9 +149,9 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
                     codes += fingerprints_of(held)
                     held, load = [], 0
             codes += fingerprints_of(held)
-            yield pd.DataFrame({"doc_id": frame.iloc[:, 0].astype("Int64"), "fp": np.array(codes, np.uint64).view(np.int64)})
+            yield pd.DataFrame({"doc_id": frame.iloc[:, 0], "fp": np.array(codes, np.uint64).view(np.int64)})
 
-    return docs.select("doc_id", text).mapInPandas(batches, "doc_id long, fp long")
+    return with_long(docs.select(*as_text("doc_id"), text).mapInPandas(batches, "doc_id string, fp long"), "doc_id")
 
 
 def bit_planes(codes: np.ndarray) -> np.ndarray:

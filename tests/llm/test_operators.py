@@ -281,3 +281,14 @@ def test_odd_documents(spark, odd, empty, name):
     assert len(rows) == 10 and sum(r.doc_id is None for r in rows) == 1
     assert len({json.dumps([x for x in r if not isinstance(x, float)], default=str) for r in rows if r.doc_id == 5}) == 1
     assert run(empty).count() == 0
+
+
+@pytest.mark.parametrize("run", [simhash.fingerprints, bpe.encode_texts, pii.find, license_scan.find, suffix_dedup.dedup])
+def test_large_ids_next_to_null_ids(spark, run):
+    docs = spark.createDataFrame([(2**53 + 1, "one two"), (None, "three")], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in run(docs).collect()} == {2**53 + 1, None}
+
+
+def test_large_page_ids_next_to_null_ids(spark):
+    pages = spark.createDataFrame([(2**53 + 1, None, "<p>a"), (None, None, None)], "page_id long, url string, html string").coalesce(1)
+    assert {r.page_id for r in html_text.extract(pages).collect()} == {2**53 + 1, None}
