@@ -5,7 +5,10 @@ random direction at the median of a bounded sample (``SAMPLE`` vectors, fitted
 on the driver); rows close to a split, nearer than ``SPILL`` standard
 deviations of the projected distance that the similarity allows, go to both
 sides. Splitting stops when a leaf is expected to hold ``LEAF`` rows or fewer,
-or when a split no longer parts the rows. Within a leaf all pairs are compared
+or when a split no longer parts the rows. A tree parts more pairs the deeper it
+is, so the number of trees follows the fitted trees: each is tried on pairs
+made from the sample at exactly the similarity bound, and trees are added
+until the product of the shares that they part is ``MISS`` or less. Within a leaf all pairs are compared
 and verified by their cosine in double precision. A leaf that is larger (a
 dense group of near copies) is cut into blocks, and pairs of blocks are
 compared in separate tasks. A pair found in several leaves counts in the first
@@ -34,11 +37,14 @@ from clientele.llm.multi_index import usable
 from clientele.session import truncate
 
 COSINE = 0.9
-TREES = 6
+TREES = 8  # at least
+MOST_TREES = 64
+MISS = 1e-4  # share of pairs at the similarity bound that may share no leaf
+TRIED = 2048  # pairs that measure it
 SAMPLE = 16384
 LEAF = 512
 BLOCK = 2048
-SPILL = 0.3
+SPILL = 0.4
 
 
 @dataclass
@@ -98,11 +104,34 @@ def fit(sample: np.ndarray, share: float, first_leaf: int, seed: int, width: flo
     return Tree(np.array(directions), np.array(thresholds), np.array(children), np.array(leaf))
 
 
-def grow(sample: np.ndarray, n: int, trees: int = TREES, seed: int = 17) -> list[Tree]:
+def pairs_at(unit: np.ndarray, cosine: float = COSINE, seed: int = 23) -> np.ndarray:
+    """For each unit vector another one at exactly this cosine, in a random direction."""
+    other = np.random.default_rng(seed).normal(size=unit.shape)
+    other -= (other * unit).sum(1, keepdims=True) * unit
+    other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-300)
+    return cosine * unit + np.sqrt(1 - cosine * cosine) * other
+
+
+def missed(tree: Tree, x: np.ndarray, y: np.ndarray, width: float) -> np.ndarray:
+    """Which rows share no leaf of the tree with the same row of ``y``."""
+    apart = np.ones(len(x), bool)
+    of_y = {leaf: rows for rows, leaf in tree.leaves(y, width)}
+    for rows, leaf in tree.leaves(x, width):
+        if leaf in of_y:
+            apart[np.intersect1d(rows, of_y[leaf])] = False
+    return apart
+
+
+def grow(sample: np.ndarray, n: int, trees: int = TREES, seed: int = 17, miss: float = MISS) -> list[Tree]:
+    """``trees`` or as many more as it takes until pairs at the similarity bound are expected to miss each other with ``miss``."""
     out: list[Tree] = []
-    for t in range(trees):
+    width, lost = margin(sample.shape[1]), 1.0
+    x = sample[:TRIED]
+    y = pairs_at(x)
+    while len(out) < trees or lost > miss and len(out) < MOST_TREES:
         first = 1 + int(out[-1].leaf.max()) if out else 0
-        out.append(fit(sample, n / max(1, len(sample)), first, seed + t, margin(sample.shape[1])))
+        out.append(fit(sample, n / max(1, len(sample)), first, seed + len(out), width))
+        lost *= float(missed(out[-1], x, y, width).mean()) if sample.shape[1] > 1 else 0.0
     return out
 
 

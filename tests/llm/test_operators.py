@@ -116,6 +116,21 @@ def test_tree_forest_finds_the_links(vectors):
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in range(1000, 1004))
 
 
+def test_tree_forest_keeps_its_recall_in_deep_trees():
+    """Pairs at the bound, in trees as deep as 3 million spread vectors make them."""
+    x = np.random.default_rng(8).normal(size=(16384, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = np.random.default_rng(9).normal(size=x.shape)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    width, apart = tree_forest.margin(64), np.ones(len(x), bool)
+    for tree in tree_forest.grow(x, 3_000_000):
+        of_y = {leaf: rows for rows, leaf in tree.leaves(y, width)}
+        for rows, leaf in tree.leaves(x, width):
+            apart[np.intersect1d(rows, of_y.get(leaf, rows[:0]))] = False
+    assert apart.mean() < 0.001
+
+
 def test_multi_index_recall_and_order(vectors):
     df, x = vectors
     got = multi_index.nearest(df).collect()
