@@ -106,7 +106,8 @@ def _batch_anchors(docs: np.ndarray, tags: np.ndarray, texts: list[bytes]) -> pd
     rows = []
     order = np.argsort(docs, kind="stable").tolist()
     seen: dict[bytes, tuple[int, int]] = {}
-    pieces, base, owner = [], [], []
+    pieces, base, owner, runs = [], [], [], [0]  # runs: where each run of at most PIECE_BYTES + LENGTH bytes begins
+    load = 0
     for i in order:
         text = texts[i]
         if len(text) < LENGTH:
@@ -117,17 +118,24 @@ def _batch_anchors(docs: np.ndarray, tags: np.ndarray, texts: list[bytes]) -> pd
             continue
         for o in range(0, len(text) - LENGTH + 1, PIECE_BYTES):
             pieces.append(text[o:o + PIECE_BYTES + LENGTH - 1])
+            if load + len(pieces[-1]) > PIECE_BYTES + LENGTH:
+                runs.append(len(pieces) - 1)
+                load = 0
+            load += len(pieces[-1])
             base.append(o)
             owner.append(i)
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    ends = np.cumsum(sizes)
-    begins = ends - sizes
-    key, at, first, last, piece = anchors(b"".join(pieces), begins, ends)
-    owner_, shift = np.array(owner, np.int64)[piece], np.array(base, np.int64)[piece] - begins[piece]
+    parts = []
+    for a, b in zip(runs, [*runs[1:], len(pieces)]):  # places within a run fit into _POSITION
+        ends = np.cumsum(np.array([len(p) for p in pieces[a:b]], np.int64))
+        begins = ends - np.diff(ends, prepend=0)
+        key, at, first, last, piece = anchors(b"".join(pieces[a:b]), begins, ends)
+        shift = np.array(base[a:b], np.int64)[piece] - begins[piece]
+        parts.append((key, at + shift, at - last, at - first, np.array(owner[a:b], np.int64)[piece]))
+    key, at, l_lo, l_hi, owner_ = (np.concatenate(x) for x in zip(*parts))
     distinct, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
     known = counts[inverse] > 1
-    doc = docs[owner_] if len(piece) else np.zeros(0, np.int64)
-    packed = _pack(at + shift, at - last, at - first, tags[owner_] if len(piece) else at, known.astype(np.int64))
+    doc = docs[owner_] if len(owner_) else np.zeros(0, np.int64)
+    packed = _pack(at, l_lo, l_hi, tags[owner_] if len(owner_) else at, known.astype(np.int64))
     spread = _spread(packed.view(np.uint64) ^ doc.view(np.uint64))
     probes = distinct[counts > 1]
     whole = np.array(rows, np.int64).reshape(-1, 2)

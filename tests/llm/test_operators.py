@@ -78,6 +78,24 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, bucket_rows):
     assert len(got) == len(rows) and all(tuple(r)[1:] == want[r.doc_id] for r in got)
 
 
+def test_places_in_texts_of_many_pieces(monkeypatch):
+    """Each window of a text belongs to one anchor at its true place, however many pieces the text and its batch have."""
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 300)
+    monkeypatch.setattr(suffix_dedup, "_POSITION", np.uint64((1 << 10) - 1))
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, n, dtype=np.uint8).tobytes() for n in (5000, 120, 99, 2500, 400)]
+    texts[0] = texts[0][:4000] + texts[3][700:1000] + texts[0][4300:]
+    docs = np.arange(len(texts))
+    found = suffix_dedup._batch_anchors(docs, np.zeros(len(texts), np.int64), texts)
+    for i, text in enumerate(texts):
+        own = found[(found.doc == i) & (found.packed >= 0)]
+        cuts = suffix_dedup.cut(text, own.packed.to_numpy())
+        assert sorted(s for at, lo, hi, *_ in cuts for s in range(at - hi, at - lo + 1)) == list(range(len(text) - 99))
+        for at, lo, hi, *_ in cuts:  # equal windows have equal anchors
+            grams = [suffix_dedup._gram_hashes(text[s:s + 32], 1)[0] & ~np.uint64(1023) for s in range(at - lo, at - lo + 69)]
+            assert grams.index(min(grams)) == lo
+
+
 def test_multikey_quicksort():
     rng = np.random.default_rng(1)
     rows = rng.integers(97, 99, (500, 24), dtype=np.uint8)
