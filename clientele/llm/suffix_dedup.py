@@ -25,7 +25,8 @@ under a digest of the window, and the digests are compared across buckets.
 Order: smaller doc_id, then earlier start; a null id comes before all others.
 Defined results: a null or empty text has 0 bytes and the digest of nothing;
 texts shorter than LENGTH lose nothing; equal rows get equal results and do not
-remove each other; rows that share an id but not the text are told apart, and
+remove each other; rows that share an id but not the text are told apart
+by the 64-bit hash of the text, which travels with the id as ``tag``, and
 equal starts in them do not remove each other; an empty table gives an empty
 result; other columns are not read.
 """
@@ -93,8 +94,8 @@ def anchors(data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarr
     return h[at[new]], at[new], first, last, np.searchsorted(begins, first, "right") - 1
 
 
-def _pack(at, l_lo, l_hi, tag, known):
-    return (tag << 47) | (at << 15) | (l_lo << 8) | (l_hi << 1) | known
+def _pack(at, l_lo, l_hi, known):
+    return (at << 15) | (l_lo << 8) | (l_hi << 1) | known
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -114,7 +115,7 @@ def _batch_anchors(docs: np.ndarray, tags: np.ndarray, texts: list[bytes]) -> pd
             continue
         earlier = seen.setdefault(text, (int(docs[i]), int(tags[i])))
         if earlier != (docs[i], tags[i]) and earlier[0] < docs[i]:
-            rows.append((int(docs[i]), _pack(len(text), _WHOLE, 0, int(tags[i]), 1)))
+            rows.append((int(docs[i]), int(tags[i]), _pack(len(text), _WHOLE, 0, 1)))
             continue
         for o in range(0, len(text) - LENGTH + 1, PIECE_BYTES):
             pieces.append(text[o:o + PIECE_BYTES + LENGTH - 1])
@@ -134,21 +135,22 @@ def _batch_anchors(docs: np.ndarray, tags: np.ndarray, texts: list[bytes]) -> pd
     key, at, l_lo, l_hi, owner_ = (np.concatenate(x) for x in zip(*parts))
     distinct, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
     known = counts[inverse] > 1
-    doc = docs[owner_] if len(owner_) else np.zeros(0, np.int64)
-    packed = _pack(at, l_lo, l_hi, tags[owner_] if len(owner_) else at, known.astype(np.int64))
-    spread = _spread(packed.view(np.uint64) ^ doc.view(np.uint64))
+    doc, tag = (x[owner_] if len(owner_) else np.zeros(0, np.int64) for x in (docs, tags))
+    packed = _pack(at, l_lo, l_hi, known.astype(np.int64))
+    spread = _spread(packed.view(np.uint64) ^ doc.view(np.uint64) ^ _spread(tag.view(np.uint64)))
     probes = distinct[counts > 1]
-    whole = np.array(rows, np.int64).reshape(-1, 2)
+    whole = np.array(rows, np.int64).reshape(-1, 3)
     return pd.DataFrame({
         "key": np.concatenate([np.where(known, spread, key), probes, _spread(whole[:, 0].astype(np.uint64))]).view(np.int64),
         "doc": np.concatenate([doc, np.zeros(len(probes), np.int64), whole[:, 0]]),
-        "packed": np.concatenate([packed, np.full(len(probes), -1), whole[:, 1]])})
+        "tag": np.concatenate([tag, np.zeros(len(probes), np.int64), whole[:, 1]]),
+        "packed": np.concatenate([packed, np.full(len(probes), -1), whole[:, 2]])})
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """(doc, tag, text): the id with null below all others, and 16 bits of the text's hash."""
+    """(doc, tag, text): the id with null below all others, and the hash of the text."""
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"),
-                       F.xxhash64("text").bitwiseAND(0xFFFF).cast("int").alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
+                       F.xxhash64("text").alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
@@ -165,11 +167,11 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
                     yield _batch_anchors(ids[at:i + 1], tags[at:i + 1], held)
                     held, at, load = [], i + 1, 0
 
-    found = _numbered(docs).mapInPandas(batches, "key long, doc long, packed long")
+    found = _numbered(docs).mapInPandas(batches, "key long, doc long, tag long, packed long")
     again = F.count("*").over(Window.partitionBy("key")) > 1
     return (found.withColumn("_again", again)
             .where("packed >= 0 and (_again or packed & 1 = 1)")
-            .select("doc", F.shiftright("packed", 47).cast("int").alias("tag"), "packed"))
+            .select("doc", "tag", "packed"))
 
 
 # --- suffixes --------------------------------------------------------------------------------------------------------
@@ -250,8 +252,8 @@ def repeated_windows(doc: np.ndarray, at: np.ndarray, l_lo: np.ndarray, l_hi: np
     return list(zip(row.tolist(), begin.tolist(), (end - 1).tolist())), open_
 
 
-_RECORD = "bucket int, doc long, tag int, at int, l_lo int, l_hi int, suffix binary, before binary"
-_REMOVED = "doc long, tag int, start int, end int, window binary"
+_RECORD = "bucket int, doc long, tag long, at int, l_lo int, l_hi int, suffix binary, before binary"
+_REMOVED = "doc long, tag long, start int, end int, window binary"
 
 
 def _compressed(docs: DataFrame) -> DataFrame:
@@ -341,7 +343,7 @@ def repeats(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, splitter_rows: int
     part = max(1, n // splitter_rows)
     chosen = F.pmod(F.xxhash64("doc", "tag"), F.lit(part)) == 0
     sample = _with_texts(found.where(chosen), docs.where(F.pmod(F.xxhash64(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)), F.xxhash64("text").bitwiseAND(0xFFFF).cast("int")), F.lit(part)) == 0))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)), F.xxhash64("text")), F.lit(part)) == 0))
     keys = sample.mapInPandas(lambda frames: _records(frames, None), _RECORD).select("suffix", "before")
     rows = keys.limit(4 * splitter_rows).toPandas()
     ordered = np.unique(_keys(rows.suffix, rows.before)) if len(rows) else np.zeros(0, f"S{_RIGHT + _LEFT}")

@@ -78,6 +78,26 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, bucket_rows):
     assert len(got) == len(rows) and all(tuple(r)[1:] == want[r.doc_id] for r in got)
 
 
+def test_suffix_dedup_tells_many_texts_of_one_id_apart(spark):
+    rng = random.Random(12)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(130))
+    texts = []
+    for _ in range(3000):
+        own = "".join(rng.choice("ijklmnop") for _ in range(260))
+        at = rng.randint(0, 260)
+        texts.append(own[:at] + shared + own[at:] if rng.random() < 0.5 else own)
+    first = {}
+    for t in texts:
+        for s in range(len(t) - 99):
+            first[t[s:s + 100]] = min(s, first.get(t[s:s + 100], s))
+    want = []
+    for t in texts:
+        gone = {i for s in range(len(t) - 99) if s > first[t[s:s + 100]] for i in range(s, s + 100)}
+        want.append((len(t), len(gone), hashlib.sha256("".join(c for i, c in enumerate(t) if i not in gone).encode()).hexdigest()))
+    got = suffix_dedup.dedup(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.kept_sha256) for r in got) == sorted(want)
+
+
 def test_places_in_texts_of_many_pieces(monkeypatch):
     """Each window of a text belongs to one anchor at its true place, however many pieces the text and its batch have."""
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 300)
