@@ -15,7 +15,10 @@ form controls and the head never hold text.
 
 Defined results: null or empty html gives the empty text and 0 characters;
 html without any tag is one content block; broken or cut markup is read as far
-as it goes; repeated rows get equal results; an empty table gives an empty
+as it goes: a skipped element (one that never holds text, or a hidden one) that
+closes itself is empty, one whose end tag HTML lets out ends where HTML ends
+it, and of one that just has no end only the start tag is skipped (of a script
+or style sheet what comes before the next block); repeated rows get equal results; an empty table gives an empty
 result; other columns are not read. Nesting is followed without recursion.
 """
 
@@ -43,11 +46,18 @@ _RAW = frozenset("script style textarea title noscript template iframe object sv
 _CLOSED_BY = {  # an open element on the left ends where one on the right starts
     "p": _BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+_ENDS_BY = _CLOSED_BY | {"option": {"option", "optgroup"}, "optgroup": {"optgroup"}}  # likewise, for elements that are skipped
+_END_LEFT_OUT = frozenset("option optgroup p li dt dd tr td th thead tbody tfoot caption".split())  # they end with their parent
+_HOLDERS = _BLOCKS | _RAW | {"datalist", "optgroup"}  # their end tags end all that is open in them
+_TEXT_ONLY = frozenset("script style textarea title iframe".split())  # markup inside is text
 _LEXER = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
+_MAYBE_HIDDEN = re.compile("hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_OPEN_VALUE = re.compile(r"=\s*[^\s\"'][^\s\"']*\Z")  # a slash at its end belongs to the value
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _KNOWN = {  # words in class, id or role, by what they tell
     "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs toc pagination pager tabs toolbar skip links",
@@ -76,12 +86,29 @@ def _kinds(rest: str) -> tuple[str, ...]:
     return tuple(sorted(found))
 
 
+def _hidden(rest: str) -> bool:
+    """Whether the attributes hide an element from readers."""
+    if not _MAYBE_HIDDEN.search(rest):
+        return False
+    for m in _ATTRIBUTE.finditer(rest):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if (name == "hidden" or name == "style" and _NO_DISPLAY.search(html.unescape(value))
+                or name == "aria-hidden" and value.strip().lower() == "true"):
+            return True
+    return False
+
+
+def _closes_itself(rest: str) -> bool:
+    return rest.endswith("/") and not _OPEN_VALUE.search(rest)
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements in page order (parents first) and the text runs as (node, text)."""
     nodes, runs = [Node("root", (), -1)], []
     open_: list[tuple[str, int]] = [("root", 0)]  # every open element with its block node
     parts: list[str] = []
     links, at = 0, 0
+    ends: dict[int, int] | None = None
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
@@ -119,9 +146,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 open_.pop()
             elif name == "p":
                 flush()
-        elif name in _RAW or name not in _VOID and name != "body" and name != "html" and _HIDDEN.search(rest):
-            if not rest.endswith("/") or name in _RAW:
-                at = _skip(page, at, name)
+        elif name in _RAW or name not in _VOID and name != "body" and name != "html" and _hidden(rest):
+            if name in _TEXT_ONLY or name == "head":
+                at = _skip(page, at, name, _closes_itself(rest))
+            elif not _closes_itself(rest):
+                if ends is None:
+                    ends = _ends(page)
+                at = ends.get(at, at)
         elif name in _VOID:
             if name == "hr":
                 flush()
@@ -146,17 +177,79 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, runs
 
 
-def _skip(page: str, at: int, name: str) -> int:
-    """The place after the end of an element whose content is not text of the page."""
-    if name in ("script", "style", "textarea", "title", "iframe"):  # markup inside does not nest
-        m = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-        return m.end() if m else len(page)
-    depth = 1
-    for m in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).finditer(page, at):
-        depth += -1 if m[1] else 1
-        if not depth:
-            return m.end()
-    return at if name == "head" else len(page)
+def _text_end(page: str, at: int, name: str) -> int:
+    """The place after the end tag of an element whose content is text alone; -1 if there is none."""
+    m = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+    return m.end() if m else -1
+
+
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCKS - {'html'}))}|head)(?=[\s/>])", re.I)
+
+
+def _skip(page: str, at: int, name: str, closed: bool) -> int:
+    """The place after the end of an element whose content is text alone or the head's; ``at`` if it has no end."""
+    if closed and name not in ("script", "style"):
+        return at
+    end = _text_end(page, at, name)
+    if end >= 0 and (closed or name == "iframe"):  # HTML overlooks the slash, XHTML does not: the next start tag tells
+        start = re.compile(rf"<{name}(?=[\s/>])", re.I).search(page, at, end)
+        end = -1 if start else end
+    if end >= 0 or closed or name not in ("script", "style"):
+        return end if end >= 0 else at
+    block = _BLOCK_TAG.search(page, at)  # code is never text of the page
+    return block.start() if block else len(page)
+
+
+def _ends(page: str) -> dict[int, int]:
+    """For each element by the place after its start tag, where it ends: its own end tag or where HTML implies it.
+    Elements without an end are left out. One pass over the tags.
+    """
+    out: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def pop(place: int) -> None:
+        name, begin = open_.pop()
+        count[name] -= 1
+        if name in _END_LEFT_OUT:
+            out[begin] = place
+
+    at = 0
+    while m := _LEXER.search(page, at):
+        at = m.end()
+        name = (m["name"] or m["name2"] or "").lower()
+        rest = m["rest"] or m["rest2"] or ""
+        if not name or name in _VOID:
+            continue
+        if m["close"] or m["close2"]:
+            if not count.get(name):
+                continue
+            if name in _HOLDERS:
+                while open_[-1][0] != name:
+                    pop(m.start())
+                out[open_[-1][1]] = at
+                open_.pop()
+            else:  # inline elements may overlap
+                i = next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name)
+                out[open_[i][1]] = at
+                del open_[i]
+            count[name] -= 1
+            continue
+        if name in _TEXT_ONLY:
+            at = _skip(page, at, name, _closes_itself(rest))
+            continue
+        if _closes_itself(rest) and (name in _RAW or _hidden(rest)):
+            continue
+        while inner := next((i for i in range(len(open_), 0, -1) if open_[i - 1][0] in _HOLDERS or open_[i - 1][0] == "option"), 0):
+            if name not in _ENDS_BY.get(open_[inner - 1][0], ()):
+                break
+            while len(open_) >= inner:
+                pop(m.start())
+        open_.append((name, at))
+        count[name] = count.get(name, 0) + 1
+    while open_:
+        pop(len(page))
+    return out
 
 
 _NAMES = ("article main section div p h1 h2 h3 h4 h5 h6 li ul ol dl dd dt nav header footer aside form fieldset table tr td th blockquote pre "

@@ -265,6 +265,23 @@ def test_html_composed_pages_and_oddities():
     html_text.main_text("<div>" * 5000 + "deep", model)
 
 
+@pytest.mark.parametrize("piece", [
+    '<svg width="1" />', "<iframe src=x />", "<object/>", "<canvas />", "<datalist><option>no<option>no</datalist>", "<button>", "<noscript>",
+    "<p hidden>no", "<ul><li hidden>no<li hidden>no</ul>", "<p hidden>no<div></div>", "<svg><svg/>no</svg>", "<script>no", "<script src=x />",
+    "<b><span hidden>no</b></span>", "<iframe src=http://x/></iframe>", "<div style='color:red; DISPLAY : none'>no</div>",
+    '<div aria-hidden="true">no<div>no</div>no</div>', "<div class='a'hidden>no</div>", "<button>no<span>no</span></button>"])
+def test_html_skips_no_more_than_the_element(piece):
+    page = f"<body><article><h1>Head</h1><p>one two three{piece}<p>four five six</p><p>seven</p></article></body>"
+    text = "\n".join(t for _, t in html_text.parse(page)[1])
+    assert text == "Head\none two three\nfour five six\nseven"
+
+
+@pytest.mark.parametrize("attributes", ['title="the hidden valley"', "data-css='display: none'", 'title="aria-hidden=true"', 'style="x-display:none"',
+                                        'aria-hidden="false"', "class=hidden", 'title="a" alt=hidden'])
+def test_html_hides_by_the_attribute_names(attributes):
+    assert [t for _, t in html_text.parse(f"<div {attributes}>shown</div>")[1]] == ["shown"]
+
+
 def fingerprint(text):
     words = WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     shingles = [" ".join(words[i:i + 4]) for i in range(len(words) - 3)] or ([" ".join(words)] if words else [])
