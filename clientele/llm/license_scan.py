@@ -8,7 +8,9 @@ every task. A document's winnowed fingerprints look up the index; the hits of
 one template on neighbouring diagonals form a candidate; the template is then
 aligned to the words around it inside a band of diagonals. A match is reported
 with its coverage (share of the template's words that are aligned to equal
-words) and its span in code points if the coverage is ``COVERAGE`` or more.
+words) and its span in code points if the coverage is ``COVERAGE`` or more and
+its deciding words (``DECIDING``: name, terms and version of the license) are
+all aligned, one right after the other.
 
 Winnowing keeps at least one fingerprint of every run of GRAM + WINDOW - 1
 equal words; with WINDOW 1 for templates that are short, none is lost.
@@ -48,6 +50,26 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "BSD": "Released under the BSD License",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+                "provided that the above copyright notice and this permission notice appear in all copies",
+    "Unlicense-text": "This is free and unencumbered software released into the public domain",
+}
+#: What tells a template's license from others with a similar notice; templates of whole sentences need none.
+DECIDING = {
+    "Apache-2.0": "Apache License Version 2 0", "Apache-2.0-header": "Apache License Version 2 0", "MIT": "MIT License",
+    "GPL-3.0": "GNU General Public License version 3", "GPL-header": "GNU General Public License", "CC-BY-NC-4.0": "CC BY NC 4 0",
+    "CC-BY-4.0": "Creative Commons Attribution 4 0", "MPL-2.0": "Mozilla Public License v 2 0",
+    "BSD": "BSD License", "GPL-2.0": "GNU General Public License version 2", "LGPL-3.0": "GNU Lesser General Public License version 3",
+    "LGPL-2.1": "GNU Lesser General Public License version 2 1", "AGPL-3.0": "GNU Affero General Public License version 3",
+    "CC-BY-4.0-short": "CC BY 4 0", "CC-BY-SA-4.0": "CC BY SA 4 0", "CC-BY-NC-SA-4.0": "CC BY NC SA 4 0",
 }
 GRAM = 3
 WINDOW = 4
@@ -89,6 +111,8 @@ class Index:
                 self.vocabulary.setdefault(w, len(self.vocabulary))
         self.names = sorted(templates)
         self.words = [np.array([self.vocabulary[w] for w in words[n]]) for n in self.names]
+        self.deciding = [self._deciding(words[n], _TOKEN.findall(DECIDING.get(n, "").lower())) if templates[n] == TEMPLATES.get(n) else frozenset()
+                         for n in self.names]
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, ids in enumerate(self.words):
             hashes = _gram_hashes(ids)
@@ -97,6 +121,12 @@ class Index:
                 self.postings[int(hashes[at])].append((t, at))
         self.fingerprints = np.array(sorted(self.postings))
 
+    @staticmethod
+    def _deciding(words: list[str], phrase: list[str]) -> frozenset[int]:
+        """Places of the deciding words in a template."""
+        at = next((i for i in range(len(words)) if words[i:i + len(phrase)] == phrase), 0)
+        return frozenset(range(at, at + len(phrase)))
+
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int]]:
         """(template, document position where it would start) of fingerprints found, one per group of diagonals."""
         hashes = _gram_hashes(ids)
@@ -124,17 +154,18 @@ class Index:
             at = i + diagonal - BAND + np.arange(width)
             inside = (at >= 0) & (at < len(ids))
             equal = inside & (ids[np.clip(at, 0, len(ids) - 1)] == word)
-            new, nf, nl = best.copy(), first.copy(), last.copy()
+            must, tied = i in self.deciding[t], {i, i + 1} <= self.deciding[t]
+            new, nf, nl = np.full(width, -len(template) - 1) if must else best.copy(), first.copy(), last.copy()
             # a template word without partner shifts one diagonal down, a document word is skipped going up
             for k in range(width):
-                for j in ((k + 1,) if k + 1 < width else ()):
+                for j in ((k + 1,) if k + 1 < width and not must else ()):
                     if best[j] > new[k]:
                         new[k], nf[k], nl[k] = best[j], first[j], last[j]
             for k in np.flatnonzero(equal).tolist():
-                if best[k] + 1 > new[k]:
+                if best[k] + 1 > new[k] and (best[k] >= 0 or not must):
                     new[k], nl[k] = best[k] + 1, at[k]
                     nf[k] = first[k] if first[k] >= 0 else at[k]
-            for k in range(1, width):
+            for k in range(1, 1 if tied else width):
                 if new[k - 1] > new[k]:
                     new[k], nf[k], nl[k] = new[k - 1], nf[k - 1], nl[k - 1]
             best, first, last = new, nf, nl

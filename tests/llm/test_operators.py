@@ -214,6 +214,17 @@ def test_license_scan(texts):
             assert "icens" in t[a:b] and c >= license_scan.COVERAGE
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Released under the BSD License", ["BSD"]), ("Licensed under CC BY 4.0", ["CC-BY-4.0-short"]),
+    ("Licensed under CC BY-NC-SA 4.0", ["CC-BY-NC-SA-4.0"]), ("Licensed under CC BY-ND 4.0", []),
+    ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3", ["LGPL-3.0"]),
+    ("This is licensed under the GNU General Public License, version 3", ["GPL-3.0"]), ("released under the mit license", ["MIT"]),
+    ("a Licensed under the Apache License, Version 2.0, b", ["Apache-2.0"]), ("Licensed under: CC BY-NC 4.0", ["CC-BY-NC-4.0"])])
+def test_license_needs_its_deciding_words(text, names):
+    assert [f[0] for f in license_scan.scan(text, license_scan.index(tuple(license_scan.TEMPLATES.items())))] == names
+
+
 def test_toxicity_held_out(spark):
     got = {r.doc_id: r for r in queries.op5_toxicity(spark, "/root/testdata/sf0.1").collect()}
     rows = duckdb.sql("select doc_id, toxic from '/root/testdata/sf0.1/labels.parquet'").fetchall()
