@@ -53,9 +53,10 @@ def targets(sizes: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     s = (s.withColumn("_left", F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0)))
          .withColumn("_weights", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
          .withColumn("_level", F.col("_left") / F.col("_weights"))
-         # the first source that does not reach its limit fixes the level
+         # the first source that does not reach its limit fixes the level; sources that tie come in the order of the running sums
          .withColumn("_free", F.col("limit") / F.col("weight") > F.col("_level"))
-         .withColumn("_at", F.min(F.when(F.col("_free"), F.struct(F.col("limit") / F.col("weight"), "_level"))).over(everything)["_level"]))
+         .withColumn("_at", F.min(F.when(F.col("_free"), F.struct(
+             F.col("limit") / F.col("weight"), F.col("source").isNull(), "source", "_level"))).over(everything)["_level"]))
     share = F.col("weight") * F.coalesce("_at", F.lit(float("inf")))
     return s.select("source", "source_size", "weight",
                     F.least(F.col("limit").cast("double"), share).alias("target"))
@@ -137,7 +138,8 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(lim) OVER q, 0))::DOUBL
     / (sum(weight) OVER () - coalesce(sum(weight) OVER q, 0))::DOUBLE AS level FROM w
   WINDOW q AS (ORDER BY lim::DOUBLE / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size,
-    least(lim::DOUBLE, weight * coalesce((SELECT arg_min(level, lim::DOUBLE / weight) FROM l WHERE lim::DOUBLE / weight > level), 'inf'::DOUBLE)) AS target
+    least(lim::DOUBLE, weight * coalesce((SELECT level FROM l WHERE lim::DOUBLE / weight > level
+      ORDER BY lim::DOUBLE / weight, source IS NULL, source LIMIT 1), 'inf'::DOUBLE)) AS target
   FROM l),
 r AS (SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS whole,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t),
