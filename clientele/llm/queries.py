@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import (bpe, html_text, license_scan, mixing, multi_index, packing, pii, simhash, spelling, suffix_dedup,
+from clientele.llm import (bpe, conversation_repair, html_text, license_scan, mixing, multi_index, packing, pii, simhash, spelling, suffix_dedup,
                            toxicity, tree_forest)
 from clientele.llm.common import table
 
@@ -61,6 +61,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.document_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_embedding_near_dedup, op3_nearest_neighbours, op4_license_scan, op5_toxicity, op6_bpe, op7_source_mixing,
-        op8_html_extraction, op9_simhash, op10_pii, op11_spelling_variants, op13_best_fit_packing)}
+        op8_html_extraction, op9_simhash, op10_pii, op11_spelling_variants, op12_conversation_repair, op13_best_fit_packing)}
 
 _OP7 = f"""SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM ({mixing.oracle()})"""
 
