@@ -202,6 +202,13 @@ def _density(spark, sf_dir):
     return rounded(model.labels(10, 5))
 
 
+@query("g05_approximate_clusters")
+def _approximate_density(spark, sf_dir):
+    points = read_sample(spark, sf_dir, "embeddings")
+    model = DensityClustering(points, "vec_id", "embedding", max_min_samples=5, probes=8)
+    return rounded(model.labels(10, 5))
+
+
 _KNN = 5
 
 

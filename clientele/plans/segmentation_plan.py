@@ -27,9 +27,11 @@ class SegmentationResult:
 
 
 def run_segmentation(t: RetailTables, settings: list[tuple[int, int]] = SETTINGS, grain: str = "base",
-                     out: str | None = None, generated_at: str | None = None) -> SegmentationResult:
+                     out: str | None = None, generated_at: str | None = None, probes: int | None = None) -> SegmentationResult:
     """Features, RFM segments, density clusters and both profiles.
 
+    ``probes`` makes the clusters approximate, for tables of many millions of customers.
+
     With ``out`` all results are also saved there, the parameters of the
     feature steps included, so that they can be applied to other customers.
     """
@@ -37,7 +39,7 @@ def run_segmentation(t: RetailTables, settings: list[tuple[int, int]] = SETTINGS
     features = truncate(f.features)
     segmented = sg.assign_segments(sg.rfm_scores(features))
     points = f.scaled.select(CUSTOMER, F.array(*[F.col(c).cast("double") for c in f.columns]).alias("vector"))
-    model = DensityClustering(points, CUSTOMER, "vector", max(s for _, s in settings))
+    model = DensityClustering(points, CUSTOMER, "vector", max(s for _, s in settings), probes=probes)
     labels, tried = model.search(settings)
     customers = truncate(segmented.join(
         labels.withColumnRenamed("probability", "cluster_probability"), CUSTOMER))
