@@ -22,7 +22,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def tokens():
-    return packing.Tokens(packing.default_path(), 500)
+    return packing.Tokens(packing.default_path())
 
 
 ODD = " \t\n\x0b\x1c\x1f\x85\xa0\u2003\u200b 'sdTé1²;<|\U0001f600\u0301ß"
@@ -30,10 +30,16 @@ ODD = " \t\n\x0b\x1c\x1f\x85\xa0\u2003\u200b 'sdTé1²;<|\U0001f600\u0301ß"
 
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.text(ODD, max_size=20), max_size=4))
-def test_tokens_equal_the_library(tokens, parts):
+def test_tokens_equal_the_library(tokens, library, parts):
     text = "<|endoftext|>".join(parts)
-    want = tokens.library.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(next(tokens.encode([text])), "<u4").tolist() == want
+    assert np.frombuffer(tokens.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_tokens_around_code_points_equal_the_library(tokens, library):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 31 == 0)]
+    texts = [f"a{chr(c)}b 1{chr(c)}2 {chr(c)} {chr(c)};" for c in points]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == want.ids
 
 
 def by_the_rule(lengths, limit):
@@ -83,14 +89,19 @@ def check(rows, texts, library, limit=packing.SEQUENCE):
     return len(found), sum(r.length for r in rows) / limit
 
 
-@pytest.mark.parametrize("unit_rows,left_rows", [(packing.UNIT_ROWS, packing.LEFT_ROWS), (60, 25)])
-def test_query_packs_all_documents(spark, library, monkeypatch, unit_rows, left_rows):
-    monkeypatch.setattr(packing, "UNIT_ROWS", unit_rows)
-    monkeypatch.setattr(packing, "LEFT_ROWS", left_rows)
+def test_query_packs_all_documents(spark, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = queries.QUERIES["op13_best_fit_packing"](spark, SF).collect()
     used, least = check(rows, [(r.doc_id, r.text) for r in docs.collect()], library)
-    assert used <= least * (1.005 if unit_rows > 1000 else 1.03) + 1
+    assert used <= least * 1.005 + 1
+
+
+def test_small_units_pack_over_several_levels(spark, library):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = packing.pack(packing.pieces(docs), unit_rows=40, left_rows=25).collect()
+    assert len({r.sequence_id >> 56 for r in rows}) >= 3
+    used, least = check(rows, [(r.doc_id, r.text) for r in docs.collect()], library)
+    assert used <= least * 1.04 + 1
 
 
 def test_odd_documents(spark, library):
@@ -106,8 +117,6 @@ def test_odd_documents(spark, library):
     assert empty.count() == 0 and empty.columns == list(rows[0].__fields__)
 
 
-def test_lengths_that_never_fit_stay_bounded(spark, monkeypatch):
-    monkeypatch.setattr(packing, "UNIT_ROWS", 50)
-    monkeypatch.setattr(packing, "LEFT_ROWS", 20)
-    rows = packing.pack(spark.range(0, 1000, 1, 4).selectExpr("id", "600L as length")).collect()
+def test_lengths_that_never_fit_stay_bounded(spark):
+    rows = packing.pack(spark.range(0, 1000, 1, 4).selectExpr("id", "600L as length"), unit_rows=50, left_rows=20).collect()
     assert len({r.sequence_id for r in rows}) == 1000 and {r.offset for r in rows} == {0}
