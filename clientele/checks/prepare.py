@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clientele.checks.features import FEATURES as _FEATURES
-from clientele.checks.registry import retail, rounded
+from clientele.checks.registry import NUDGE, retail, rounded
 from clientele.operators import features as fe
 from clientele.operators import prepare as pr
 
@@ -67,53 +67,88 @@ def _missing(t):
     return pr.missing_report(_features(t))
 
 
-# Not the price deviation: its last digits depend on the order of summation.
-_SCALED = [c for c in pr.CLUSTERING_FEATURES if c not in ("region_freq", "price_std")]
+_SCALED = pr.CLUSTERING_FEATURES
+_CODED = f"""{_FEATURES},
+share AS (SELECT region, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS region_freq FROM features WHERE region IS NOT NULL GROUP BY 1),
+coded AS (SELECT f.*, s.region_freq FROM features f LEFT JOIN share s ON f.region = s.region),
+ready AS (SELECT customer_unique_id, {', '.join(_filled(c).replace('FROM features', 'FROM coded') for c in _SCALED)} FROM coded)"""
+
+
+def _coded(t):
+    return pr.encode(_features(t))
+
 
+def _digits(c):
+    """The deviation of prices is a root, so fewer of its digits are equal in two engines."""
+    return 3 if c == "price_std" else 5
 
-@retail("x05_robust_scaling", f"""WITH {_FILLED}, q AS (SELECT {', '.join(
-    f'quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS {c}' for c in _SCALED)} FROM filled)
+
+def _compared(df, digits=_digits):
+    values = {c: F.col(c).cast("double") for c in _SCALED}
+    return df.select(F.col(ID).cast("long").alias(ID), *[F.round(v + F.signum(v) * NUDGE, digits(c)).alias(c) for c, v in values.items()])
+
+
+_ROBUST = f"""WITH {_CODED}, q AS (SELECT {', '.join(
+    f'quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS {c}' for c in _SCALED)} FROM ready)
 SELECT customer_unique_id, {', '.join(
-    f'round((filled.{c} - q.{c}[2]) / CASE WHEN q.{c}[3] = q.{c}[1] THEN 1.0 ELSE q.{c}[3] - q.{c}[1] END, 5) AS {c}' for c in _SCALED)}
-FROM filled, q""")
+    f'round((ready.{c} - q.{c}[2]) / CASE WHEN q.{c}[3] = q.{c}[1] THEN 1.0 ELSE q.{c}[3] - q.{c}[1] END, {_digits(c)}) AS {c}' for c in _SCALED)}
+FROM ready, q"""
+
+
+@retail("x05_robust_scaling", _ROBUST)
 def _robust(t):
-    df = pr.scale(pr.impute(_features(t)), _SCALED, "robust")
-    return rounded(df.select(ID, *_SCALED), 5)
+    return _compared(pr.scale(pr.impute(_coded(t)), _SCALED, "robust"))
 
 
-@retail("x06_standard_scaling", f"""WITH {_FILLED}, q AS (SELECT {', '.join(
-    f'avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}' for c in _SCALED)} FROM filled)
+@retail("x06_standard_scaling", f"""WITH {_CODED}, q AS (SELECT {', '.join(
+    f'avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}' for c in _SCALED)} FROM ready)
 SELECT customer_unique_id, {', '.join(
-    f'round((filled.{c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END, 5) AS {c}' for c in _SCALED)}
-FROM filled, q""")
+    f'round((ready.{c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END, {_digits(c)}) AS {c}' for c in _SCALED)}
+FROM ready, q""")
 def _standard(t):
-    df = pr.scale(pr.impute(_features(t)), _SCALED, "standard")
-    return rounded(df.select(ID, *_SCALED), 5)
+    return _compared(pr.scale(pr.impute(_coded(t)), _SCALED, "standard"))
 
 
 @retail("x07_power_scaling")
 def _power(t):
-    df = pr.scale(pr.impute(_features(t)), _SCALED, "power")
+    df = pr.scale(pr.impute(_coded(t)), _SCALED, "power")
     return rounded(df.select(ID, *_SCALED), 4)
 
 
-@retail("x09_clustering_features", f"""WITH {_FEATURES} SELECT customer_unique_id, {', '.join(
-    f'round(CAST({c} AS DOUBLE), 5) AS {c}' for c in _SCALED)} FROM features""")
+def _likelihood_sql(values, grid):
+    """(col, e, ll): the likelihood of each exponent of a table (col, e)."""
+    y = ("CASE WHEN x >= 0 THEN CASE WHEN abs(e) < 1e-12 THEN ln(1 + x) ELSE (pow(x + 1, e) - 1) / e END "
+         "ELSE CASE WHEN abs(2 - e) < 1e-12 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - e) - 1) / (2 - e) END END")
+    return (f"(SELECT col, e, CASE WHEN var_pop({y}) > 0 AND isfinite(var_pop({y})) THEN -count(*) / 2.0 * ln(var_pop({y})) + (e - 1) * sum(sign(x) * ln(1 + abs(x))) END AS ll "
+            f"FROM {values} JOIN {grid} USING (col) GROUP BY col, e)")
+
+
+# Steps of the search in SQL: each level goes a little beyond a step of the one before.
+_STEPS = [2, 0.1, 0.01, 1e-3, 1e-4, 1e-5]
+_LEVELS = [f"""b{k + 1} AS (SELECT col, coalesce(arg_max(e, ll), 1.0) AS e FROM {_likelihood_sql('v', f'(SELECT col, e + i * {step} AS e FROM b{k}, range(-22, 23) r(i))')} GROUP BY col)"""
+           for k, step in enumerate(_STEPS)]
+
+
+@retail("x07_power_exponents", f"""WITH {_CODED},
+v AS ({' UNION ALL '.join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM ready" for c in _SCALED)}),
+b0 AS (SELECT col, coalesce(arg_max(e, ll), 1.0) AS e FROM {_likelihood_sql('v', '(SELECT col, i * 25.0 AS e FROM (SELECT DISTINCT col FROM v), range(-200, 201) r(i))')} GROUP BY col),
+{', '.join(_LEVELS)}
+SELECT col AS "column", CASE WHEN abs(e) < 20 THEN round(e, 2) ELSE round(e, -1) END AS exponent FROM b{len(_STEPS)}""")
+def _exponents(t):
+    df = pr.impute(_coded(t))
+    found = [(c, round(e, 2 if abs(e) < 20 else -1)) for c, e in pr.fit_power(df, _SCALED).items()]
+    return df.sparkSession.createDataFrame(found, "column string, exponent double")
+
+
+@retail("x09_clustering_features", f"""WITH {_CODED} SELECT customer_unique_id, {', '.join(
+    f'round(CAST({c} AS DOUBLE), {_digits(c)}) AS {c}' for c in _SCALED)} FROM coded""")
 def _selected(t):
-    df = _features(t)
-    chosen = [c for c in pr.present(pr.CLUSTERING_FEATURES, df) if c in _SCALED]
-    return rounded(df.select(ID, *[F.col(c).cast("double").alias(c) for c in chosen]), 5)
+    df = _coded(t)
+    assert pr.present(pr.CLUSTERING_FEATURES, df) == _SCALED
+    return _compared(df)
 
 
-@retail("x10_feature_pipeline", f"""WITH {_FEATURES},
-share AS (SELECT region, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS region_freq FROM features WHERE region IS NOT NULL GROUP BY 1),
-coded AS (SELECT f.*, s.region_freq FROM features f LEFT JOIN share s ON f.region = s.region),
-filled AS (SELECT customer_unique_id, {', '.join(_filled(c).replace('FROM features', 'FROM coded') for c in _SCALED + ['region_freq'])} FROM coded),
-q AS (SELECT {', '.join(f'quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS {c}' for c in _SCALED + ['region_freq'])} FROM filled)
-SELECT customer_unique_id, {', '.join(
-    f'round((filled.{c} - q.{c}[2]) / CASE WHEN q.{c}[3] = q.{c}[1] THEN 1.0 ELSE q.{c}[3] - q.{c}[1] END, 5) AS {c}' for c in _SCALED + ['region_freq'])}
-FROM filled, q""")
+@retail("x10_feature_pipeline", _ROBUST)
 def _pipeline(t):
     from clientele.plans.feature_plan import run_features
-    result = run_features(t)
-    return rounded(result.scaled.select(ID, *_SCALED, "region_freq"), 5)
+    return _compared(run_features(t).scaled)

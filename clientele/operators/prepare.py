@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.functions.semantics import ratio
 from clientele.operators.rank import exact_quantiles, global_rank
+from clientele.session import truncate
 
 CATEGORICAL = ["favorite_category", "primary_payment_method", "preferred_time_of_day", "state", "region"]
 
@@ -36,8 +39,9 @@ FILL_VALUES = {
 }
 MISSING_CLASS = "unknown"
 
-# One fitting pass evaluates this many exponents per column.
-POWER_STEPS = 11
+# One fitting pass evaluates this many exponents per column; an optimum farther out than the largest bracket is its end.
+POWER_STEPS = 7
+LARGEST_BRACKET = 4096
 
 
 def present(names: list[str], df: DataFrame) -> list[str]:
@@ -187,40 +191,79 @@ def yeo_johnson(x: Column, exponent: Column) -> Column:
     return F.when(x >= 0, positive).otherwise(negative)
 
 
-def fit_power(df: DataFrame, columns: list[str], low: float = -5.0, high: float = 5.0, rounds: int = 9) -> dict[str, float]:
+def fit_power(df: DataFrame, columns: list[str], low: float = -2.0, high: float = 2.0, rounds: int = 7) -> dict[str, float]:
     """Exponent of largest likelihood per column.
 
-    Every round evaluates a grid of exponents for all columns in a single
-    aggregation and narrows the bracket to the neighbours of the best one.
+    A round evaluates ``POWER_STEPS`` exponents of every column in one scan. A
+    bracket whose best exponent is its end is moved there and doubled, any other
+    one shrinks to the neighbours of the best; the last three points are joined
+    by a parabola. A column without spread gets 1.
     """
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)
-    ]))
-    values = df.select(pairs.alias("p")).select("p.i", "p.x").filter("x is not null")
-    brackets = {i: (low, high) for i in range(len(columns))}
-    best = {}
-    for _ in range(rounds):
-        grid = {i: [a + (b - a) * k / (POWER_STEPS - 1) for k in range(POWER_STEPS)] for i, (a, b) in brackets.items()}
-        grids = F.create_map(*[
-            part for i, points in grid.items()
-            for part in (F.lit(i), F.array(*[F.lit(p) for p in points]))
-        ])
-        tried = values.select("i", "x", F.posexplode(grids[F.col("i")]).alias("k", "e"))
-        scores = (
-            tried.groupBy("i", "k")
-            .agg(F.count("*").alias("n"), F.var_pop(yeo_johnson(F.col("x"), F.col("e"))).alias("v"),
-                 F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("logs"))
-            .collect()  # one row per column and exponent
-        )
-        for i, points in grid.items():
-            likelihood = {
-                r.k: -r.n / 2 * math.log(r.v) + (points[r.k] - 1) * r.logs
-                for r in scores if r.i == i and r.v is not None and 0 < r.v < math.inf
-            }
-            if not likelihood:  # constant column: the transform has no effect on it
-                best[i], brackets[i] = 1.0, (1.0, 1.0)
-                continue
-            k = max(likelihood, key=likelihood.get)
-            best[i] = points[k]
-            brackets[i] = (points[max(k - 1, 0)], points[min(k + 1, POWER_STEPS - 1)])
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    brackets = {i: (low, high, 0) for i in range(len(columns))}
+    best: dict[int, float] = {}
+    while open_ := [i for i in range(len(columns)) if i not in best]:
+        grid = {i: [a + (b - a) * k / (POWER_STEPS - 1) for k in range(POWER_STEPS)] for i, (a, b, _) in brackets.items() if i in open_}
+        found = _power_likelihoods(values, grid)
+        for i in open_:
+            a, b, shrunk = brackets[i]
+            likelihood = [found.get((i, k), -math.inf) for k in range(POWER_STEPS)]
+            k = likelihood.index(max(likelihood))
+            if likelihood[k] == -math.inf:
+                best[i] = 1.0
+            elif k in (0, POWER_STEPS - 1) and b - a < LARGEST_BRACKET:
+                brackets[i] = (grid[i][k] - (b - a), grid[i][k] + (b - a), shrunk)
+            elif shrunk + 1 < rounds:
+                brackets[i] = (grid[i][max(k - 1, 0)], grid[i][min(k + 1, POWER_STEPS - 1)], shrunk + 1)
+            else:
+                best[i] = _vertex(grid[i], likelihood, k)
     return {c: best[i] for i, c in enumerate(columns)}
+
+
+def _power_likelihoods(values: DataFrame, grid: dict[int, list[float]]) -> dict[tuple[int, int], float]:
+    """Likelihood per (column, place in its grid).
+
+    A batch gives number, mean and squared deviation per exponent; they are
+    merged around the common mean, so nearly constant transforms keep their digits.
+    """
+    def batches(frames):
+        for frame in frames:
+            out = []
+            for i, exponents in grid.items():
+                x = frame[f"c{i}"].to_numpy("float64")
+                x = x[~np.isnan(x)]
+                if not len(x):
+                    continue
+                logs = float((np.sign(x) * np.log1p(np.abs(x))).sum())
+                for k, e in enumerate(exponents):
+                    with np.errstate(all="ignore"):
+                        y = _transformed(x, e)
+                        mean = y.mean()
+                        out.append((i, k, len(x), mean, ((y - mean) ** 2).sum(), logs))
+            yield pd.DataFrame(out, columns=["i", "k", "n", "mean", "deviation", "logs"])
+
+    parts = truncate(values.select(*[f"c{i}" for i in grid]).mapInPandas(
+        batches, "i int, k int, n long, mean double, deviation double, logs double"))
+    centre = parts.groupBy("i", "k").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))  # one row per exponent
+    rows = parts.join(F.broadcast(centre), ["i", "k"]).groupBy("i", "k").agg(
+        F.sum("n").alias("n"), F.sum("logs").alias("logs"), F.max("centre").alias("centre"),
+        F.sum(F.col("deviation") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("deviation")).collect()
+    return {(r.i, r.k): -r.n / 2 * math.log(r.deviation / r.n) + (grid[r.i][r.k] - 1) * r.logs
+            for r in rows if r.deviation is not None and r.deviation < math.inf
+            and math.sqrt(r.deviation / r.n) > 1e-13 * abs(r.centre)}  # more than rounding
+
+
+def _transformed(x: np.ndarray, e: float) -> np.ndarray:
+    """``yeo_johnson`` of an array."""
+    up, down = np.maximum(x, 0.0), np.minimum(x, 0.0)
+    positive = np.log1p(up) if abs(e) < 1e-12 else ((up + 1) ** e - 1) / e
+    negative = -np.log1p(-down) if abs(2 - e) < 1e-12 else (1 - (1 - down) ** (2 - e)) / (2 - e)
+    return np.where(x >= 0, positive, negative)
+
+
+def _vertex(x: list[float], y: list[float], k: int) -> float:
+    """Where the parabola through the largest point and its neighbours is largest."""
+    if not 0 < k < len(x) - 1 or -math.inf in (y[k - 1], y[k + 1]):
+        return x[k]
+    bend = y[k - 1] - 2 * y[k] + y[k + 1]
+    return x[k] if bend >= 0 else x[k] + (x[k + 1] - x[k]) * (y[k - 1] - y[k + 1]) / (2 * bend)

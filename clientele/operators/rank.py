@@ -1,6 +1,6 @@
 """Exact global ranks and order statistics without a single-task sort.
 
-Rows are range-partitioned on the sort columns, so each task sorts one slice.
+For ranks, rows are range-partitioned on the sort columns, so each task sorts one slice.
 The slices are frozen by a checkpoint before they are counted, because a
 second evaluation could cut them elsewhere. Everything that depends on the
 whole order is then one small number per slice.
@@ -9,12 +9,17 @@ whole order is then one small number per slice.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.session import truncate
 
+# Order statistics: error of a sketch as a share of the rows, and rows of a bracket that are sorted on the driver.
+SKETCH_ACCURACY = 10_000
+SORTED_ROWS = 20_000
+
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row position below this bit
 
 
@@ -104,47 +109,87 @@ def quintile_score(metric: str, id_col: str, cuts: list, reverse: bool = False)
     return F.when(value.isNotNull(), score).cast("int")
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    """Exact linearly interpolated quantiles of several columns.
+@dataclass(frozen=True)
+class _Bracket:
+    """The values of a column strictly between two bounds, and how many are not above the lower one."""
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int
+    inside: int
+
+    def values(self) -> Column:
+        v = F.col(self.column).cast("double")
+        within = v.isNotNull()
+        if self.low is not None:
+            within = within & (v > F.lit(self.low))
+        if self.high is not None:
+            within = within & (v < F.lit(self.high))
+        return F.when(within, v)
 
-    Distinct values are counted, range-partitioned, and only the order
-    statistics are fetched: a few rows per column and probability.
+
+def order_statistics(df: DataFrame, ranks: dict[str, set[int]], counts: dict[str, int]) -> dict[tuple[str, int], float]:
+    """The values at the 1-based ``ranks`` of each column, by counting selection.
+
+    A sketch proposes two values around each rank and a count proves between
+    which of them the rank lies; both passes are aggregates of all columns at
+    once. A bracket shrinks to a few ten-thousandths per pass. What is left of it
+    is collected and sorted when it has at most ``SORTED_ROWS`` rows. Nothing is
+    sorted or shuffled but these, so every column keeps its place in the row.
     """
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("col"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)
-    ]))
-    counted = (
-        df.select(pairs.alias("p")).select("p.col", "p.value").filter("value is not null")
-        .groupBy("col", "value").agg(F.count("*").alias("n"))
-    )
-    slices = _sorted_slices(counted, "col", "value")
-    sizes = slices.groupBy("_slice", "col").agg(F.sum("n").alias("size"))
-    totals = {r.col: r.n for r in sizes.groupBy("col").agg(F.sum("size").alias("n")).collect()}
-    offsets = _slice_offsets(sizes, ["col"], "size").select("_slice", "col", "_before")
-    in_slice = Window.partitionBy("_slice", "col").orderBy("_position")
-    running = (
-        slices.join(F.broadcast(offsets), ["_slice", "col"])
-        .withColumn("upto", F.col("_before") + F.sum("n").over(in_slice))
-    )
-    wanted = F.lit(False)
-    for i in totals:
-        for r in {r for p in probabilities for r in _neighbour_ranks(totals[i], p)}:
-            wanted = wanted | ((F.col("col") == i) & (F.col("upto") >= r) & (F.col("upto") - F.col("n") < r))
-    found = running.filter(wanted).select("col", "value", "n", "upto").collect()
+    places = {(c, k): _Bracket(c, None, None, 0, counts[c]) for c, wanted in ranks.items() for k in wanted}
+    found: dict[tuple[str, int], float] = {}
+    while wide := {b for b in places.values() if b.inside > SORTED_ROWS}:
+        asked = {b: sorted({min(1.0, max(0.0, (k - b.before) / b.inside + side * 2 / SKETCH_ACCURACY))
+                            for (_, k), at in places.items() if at == b for side in (-1, 1)}) for b in wide}
+        order = list(asked)
+        row = df.agg(*[F.percentile_approx(b.values(), asked[b], SKETCH_ACCURACY).alias(f"b{i}") for i, b in enumerate(order)]).first()
+        cuts = {b: sorted(set(row[f"b{i}"])) for i, b in enumerate(order)}
+        counted = []
+        for i, b in enumerate(order):
+            v = b.values()
+            for j, cut in enumerate(cuts[b]):
+                counted += [F.count_if(v < F.lit(cut)).alias(f"l{i}_{j}"), F.count_if(v == F.lit(cut)).alias(f"e{i}_{j}")]
+        row = df.agg(*counted).first()
+        for (c, k), b in list(places.items()):
+            if b not in asked:
+                continue
+            i, low, before = order.index(b), b.low, b.before
+            for j, cut in enumerate(cuts[b]):
+                less, equal = b.before + row[f"l{i}_{j}"], row[f"e{i}_{j}"]
+                if k <= less:  # between the cut before and this one
+                    places[c, k] = _Bracket(c, low, cut, before, less - before)
+                    break
+                if k <= less + equal:
+                    found[c, k] = cut
+                    del places[c, k]
+                    break
+                low, before = cut, less + equal
+            else:
+                places[c, k] = _Bracket(c, low, b.high, before, b.before + b.inside - before)
+    order = list(dict.fromkeys(places.values()))
+    if order:
+        row = df.agg(*[F.sort_array(F.collect_list(b.values())).alias(f"b{i}") for i, b in enumerate(order)]).first()
+        sorted_ = {b: row[f"b{i}"] for i, b in enumerate(order)}  # at most SORTED_ROWS values each
+        found |= {(c, k): sorted_[b][k - b.before - 1] for (c, k), b in places.items()}
+    return found
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
+    """Exact linearly interpolated quantiles of several columns."""
+    row = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    ranks = {c: {r for p in probabilities for r in _neighbour_ranks(n, p)} for c, n in counts.items() if n}
+    at = order_statistics(df, ranks, counts)
     result = {}
-    for i, c in enumerate(columns):
+    for c, n in counts.items():
         values = []
-        for p in probabilities:
-            if i not in totals:
-                values.append(None)
-                continue
-            low, high = (
-                next(r.value for r in found if r.col == i and r.upto - r.n < k <= r.upto)
-                for k in _neighbour_ranks(totals[i], p)
-            )
-            part = p * (totals[i] - 1) - math.floor(p * (totals[i] - 1))
+        for p in probabilities if n else []:
+            low, high = (at[c, k] for k in _neighbour_ranks(n, p))
+            part = p * (n - 1) - math.floor(p * (n - 1))
             values.append(low if part == 0 else (1 - part) * low + part * high)
-        result[c] = values
+        result[c] = values or [None] * len(probabilities)
     return result
 
 
