@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -109,6 +111,13 @@ def load_table(spark: SparkSession, table: Table, csv_path: str | list[str], out
     Row counts are observed during the write, so nothing is read twice. A file
     with line feeds inside its values cannot be split by Spark and is one task;
     large exports of free text should come as several files.
+
+    A load can be run again. It writes into a staging folder beside the table and
+    moves the finished files in, under names made from the batch of files; the
+    manifest of the table lists the files of each batch by name, length and
+    modification time. ``append`` leaves out files that the manifest lists, and a
+    load that died is redone as a whole: what it had staged is overwritten, and
+    what it had moved in has the same names.
     """
     paths = [csv_path] if isinstance(csv_path, str) else list(csv_path)
     if mode not in LOAD_MODES:
@@ -116,6 +125,12 @@ def load_table(spark: SparkSession, table: Table, csv_path: str | list[str], out
     target = f"{out}/{table.name}"
     if mode == "skip" and _has_rows(spark, target):
         return _audit(table.name, "skipped")
+    files = _file_states(spark, paths)
+    if mode == "append":
+        files = _not_loaded(spark, target, files)
+        if not files:
+            return _audit(table.name, "already loaded")
+        paths = [f[0] for f in files]
     read, written = Observation(f"{table.name} read"), Observation(f"{table.name} written")
     raw = read_csv(spark, paths, multi_line=table.free_text)
     if table.free_text:
@@ -131,10 +146,71 @@ def load_table(spark: SparkSession, table: Table, csv_path: str | list[str], out
     if table.free_text:
         raw_observed = raw_observed.repartition(spark.sparkContext.defaultParallelism)
     rows = prepare_table(raw_observed, table).observe(written, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("overwrite" if mode == "truncate" else "append").parquet(target)
+    batch = hashlib.sha256(repr(files).encode()).hexdigest()[:16]
+    staged = f"{out}/_staged_{table.name}_{batch}"
+    rows.write.mode("overwrite").parquet(staged)
+    _move_in(spark, staged, target, batch, replace=mode == "truncate")
+    spark.createDataFrame([(*f, batch) for f in files], MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+        f"{_manifest_path(target)}/batch_{batch}")
     return _audit(table.name, "loaded", len(paths), read.get["n"], written.get["n"], *[read.get[n] or 0 for n in lost])
 
 
+MANIFEST = "file string, length long, modified long, batch string"
+
+
+def _manifest_path(target: str) -> str:
+    folder, name = target.rsplit("/", 1)
+    return f"{folder}/_loaded_{name}"
+
+
+def loaded_files(spark: SparkSession, target: str) -> DataFrame:
+    """(file, length, modified, batch) of the files that a table holds."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(f"{_manifest_path(target)}/batch_*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _file_states(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    states = []
+    for path in paths:
+        fs, place = _file_system(spark, path)
+        found = fs.getFileStatus(place)
+        states.append((found.getPath().toString(), found.getLen(), found.getModificationTime()))
+    return states
+
+
+def _not_loaded(spark: SparkSession, target: str, files: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    asked = spark.createDataFrame(files, "file string, length long, modified long")
+    new = asked.join(loaded_files(spark, target), ["file", "length", "modified"], "left_anti")
+    return sorted(tuple(r) for r in new.collect())  # at most the files given
+
+
+def _move_in(spark: SparkSession, staged: str, target: str, batch: str, replace: bool) -> None:
+    """Rename the staged files into the table, by names that a repeated load makes again."""
+    fs, source = _file_system(spark, staged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if replace:
+        fs.delete(path(target), True)
+        fs.delete(path(_manifest_path(target)), True)
+    fs.mkdirs(path(target))
+    for old in fs.listStatus(path(target)):  # left by a load of this batch that died
+        if old.getPath().getName().startswith(f"{batch}-"):
+            fs.delete(old.getPath(), False)
+    parts = sorted(f.getPath().toString() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        if not fs.rename(path(part), path(f"{target}/{batch}-{i:05d}.parquet")):
+            raise OSError(f"cannot move {part} into {target}")
+    fs.delete(source, True)
+
+
 def _has_rows(spark: SparkSession, path: str) -> bool:
     try:
         return not spark.read.parquet(path).isEmpty()
