@@ -183,6 +183,20 @@ def _upsert(spark, sf_dir):
     return cv.upsert(first, df.filter(F.col("event_type") != "click"), ["user_id"], "version").select("user_id", "event_type")
 
 
+@query("s28_stored_upsert", "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1")
+def _stored_upsert(spark, sf_dir):
+    """The same in a stored table, whose buckets are replaced as changes come."""
+    import uuid
+
+    from clientele.session import scratch_folder
+
+    path = f"{scratch_folder(spark)}/memory-{uuid.uuid4().hex}"
+    df = read_sample(spark, sf_dir, "events").select("user_id", "event_type", F.struct("ts", "event_id").alias("version"))
+    for part in (F.col("event_type") == "click", F.col("event_type") != "click"):
+        cv.upsert_table(spark, path, df.filter(part), ["user_id"], "version", buckets=8)
+    return cv.read_table(spark, path).select("user_id", "event_type")
+
+
 _TOOLS = """CASE turn % 3 WHEN 0 THEN 'get_segment_details' WHEN 1 THEN 'compare_segments' ELSE 'other' END"""
 
 

@@ -9,7 +9,10 @@ and batch and stream share one definition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientele.operators import intent
@@ -41,13 +44,18 @@ def running_context(messages: DataFrame) -> DataFrame:
     grouped = spoken.groupBy("conv_id").agg(
         *firsts, F.max_by("intent", asked_at).alias("last_intent"),
         F.max_by("data_source", asked_at).alias("last_data_source"))
+    return context_rows(grouped.withColumn("firsts", F.array(*[f"first_{i}" for i in range(len(names))])))
+
+
+def context_rows(kept: DataFrame) -> DataFrame:
+    """The context from the kept turns: ``firsts``, in the order of the segment names, last_intent and last_data_source."""
+    firsts = F.col("firsts")
     mention = [
-        F.when(F.col(f"first_{i}").isNotNull(),
-               F.struct(F.col(f"first_{i}").alias("turn"), F.lit(i).alias("position"), F.lit(n).alias("name")))
-        for i, n in enumerate(names)
+        F.when(firsts[i].isNotNull(), F.struct(firsts[i].alias("turn"), F.lit(i).alias("position"), F.lit(k.title()).alias("name")))
+        for i, k in enumerate(intent.COHORTS)
     ]
     ordered = F.array_sort(F.array_compact(F.array(*mention)))
-    return grouped.select(
+    return kept.select(
         "conv_id", ordered.alias("mentions"),
         F.transform(ordered, lambda m: m["name"]).alias("segments_discussed"), "last_intent", "last_data_source")
 
@@ -96,6 +104,40 @@ def upsert(current: DataFrame, changes: DataFrame, key: list[str], version: str)
     return rows.groupBy(*key).agg(F.max_by(row, F.col(version)).alias("_row")).select("_row.*")
 
 
+def merge_into(spark: SparkSession, path: str, changes: DataFrame, key: list[str],
+               merged: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64) -> None:
+    """Merge ``changes`` into the table at ``path``, which is stored by bucket of its key.
+
+    Only the buckets that hold a changed key are read and replaced; all others keep their
+    files. ``merged(current, changes)`` must give the same rows when the same changes
+    come again. The number of buckets belongs to the table and must not change; choose it
+    so that a bucket is a few hundred megabytes.
+    """
+    columns = changes.columns
+    placed = truncate(changes.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")))
+    touched = [r[0] for r in placed.select("_bucket").distinct().collect()]  # at most ``buckets`` rows
+    if not touched:
+        return
+    try:
+        current = spark.read.schema(placed.schema).parquet(path).filter(F.col("_bucket").isin(touched)).select(*columns)
+        rows = merged(current, placed.select(*columns))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = merged(placed.select(*columns).limit(0), placed.select(*columns))
+    rows = truncate(rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")))
+    rows.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+
+
+def upsert_table(spark: SparkSession, path: str, changes: DataFrame, key: list[str], version: str, buckets: int = 64) -> None:
+    """``upsert`` into a stored table: the row with the latest ``version`` per key stays."""
+    merge_into(spark, path, changes, key, lambda current, new: upsert(current, new, key, version), buckets)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("_bucket")
+
+
 def add_distinct(current: Column, new: Column) -> Column:
     """Array union that keeps the order of first occurrence and drops blanks."""
     return F.array_distinct(F.concat(current, F.filter(new, lambda v: v.isNotNull() & (v != ""))))

@@ -95,3 +95,38 @@ def test_every_tool_request_is_answered(spark):
     assert [s.rfm_segment for s in got["j"].segments] == ["Champions"] and got["j"].total_segments == 1
     matched = lk.category_clusters(clusters, lk.known_categories(spark)).collect()
     assert {(r.category, r.cluster_id) for r in matched} == {("tech", 1), ("tech", 2)}
+
+
+def test_stored_upsert_replaces_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "memory")
+    rows = spark.createDataFrame([(i, f"old {i}", 1) for i in range(40)], "user_id long, summary string, updated_at int")
+    cv.upsert_table(spark, path, rows, ["user_id"], "updated_at", buckets=16)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "memory").rglob("*.parquet")}
+    changes = spark.createDataFrame([(3, "new 3", 2), (3, "newest 3", 3), (99, "new 99", 1), (4, "stale", 0)], rows.schema)
+    for _ in range(2):  # the same changes again change nothing
+        cv.upsert_table(spark, path, changes, ["user_id"], "updated_at", buckets=16)
+        got = {r.user_id: r.summary for r in cv.read_table(spark, path).collect()}
+        assert got == {i: f"old {i}" for i in range(40)} | {3: "newest 3", 99: "new 99"}
+    kept = {f for f in (tmp_path / "memory").rglob("*.parquet") if before.get(f) == f.stat().st_mtime_ns}
+    assert len({f.parent for f in kept}) >= len({f.parent for f in before}) - 3
+    touched = {f.parent for f in before} - {f.parent for f in kept}
+    assert 1 <= len(touched) <= 3
+
+
+def test_stream_forgets_idle_conversations(spark, tmp_path):
+    from clientele.streaming import context as cx
+
+    says = [[(1, 0, "user", "Show me Champions please"), (1, 1, "assistant", "Champions and Lost are here"), (2, 0, "user", "at risk of what?")],
+            [(3, 0, "user", "hello")],
+            [(1, 2, "user", "now compare Champions with Hibernating"), (1, 1, "assistant", "Champions and Lost are here")]]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    held = []
+    for rows in says:  # each run starts more than the idle time after the one before
+        spark.createDataFrame(rows, cx.MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        stream = cx.start_context_stream(cx.message_stream(spark, folder), out, str(tmp_path / "checkpoint"), idle_seconds=0.2, buckets=4)
+        assert stream.awaitTermination(120)
+        held.append([p.stateOperators[0].numRowsTotal for p in stream.recentProgress if p.stateOperators])
+    assert held[0][0] == 2 and held[1][-1] == 1  # when the third conversation came, the first two left
+    want = cv.running_context(spark.createDataFrame([r for rows in says for r in rows], cx.MESSAGE_SCHEMA))
+    key = lambda df: {r.conv_id: tuple(r) for r in df.collect()}
+    assert key(cx.latest_context(spark, out)) == key(want)
