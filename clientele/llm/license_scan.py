@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect
 from collections import defaultdict
 from functools import lru_cache
 
@@ -138,9 +139,10 @@ class Index:
                 found[t].append(at - p)
         out = []
         for t, diagonals in found.items():
-            last = None
+            # two notices of a template start farther apart than half its length, so short ones next to each other stay two
+            step, last = min(BAND, (len(self.words[t]) - 1) // 2), None
             for d in sorted(diagonals):
-                if last is None or d - last > BAND:
+                if last is None or d - last > step:
                     out.append((t, d))
                     last = d
         return out
@@ -169,7 +171,7 @@ class Index:
                 if new[k - 1] > new[k]:
                     new[k], nf[k], nl[k] = new[k - 1], nf[k - 1], nl[k - 1]
             best, first, last = new, nf, nl
-        k = int(np.argmax(best))
+        k = min(range(width), key=lambda k: (-best[k], abs(k - BAND)))  # of equal ones the notice that the hit is in
         return best[k] / len(template), int(first[k]), int(last[k]) + 1
 
 
@@ -195,8 +197,9 @@ def scan(text: str | None, idx: Index, coverage: float = COVERAGE) -> list[tuple
                 best[t, b] = share, a, b
     out, taken = [], defaultdict(list)
     for (t, _), (share, a, b) in sorted(best.items(), key=lambda x: (-x[1][0], x[1][1], x[0])):
-        if not any(a < e and s < b for s, e in taken[t]):
-            taken[t].append((a, b))
+        at = bisect(taken[t], (a, b))  # spans of a template never overlap, so the two next to this one decide
+        if all(e <= a or b <= s for s, e in taken[t][max(at - 1, 0):at + 1]):
+            taken[t].insert(at, (a, b))
             out.append((idx.names[t], spans[a][0], spans[b - 1][1], float(round(share, 6))))
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 

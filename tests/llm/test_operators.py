@@ -373,3 +373,22 @@ def test_large_ids_next_to_null_ids(spark, run):
 def test_large_page_ids_next_to_null_ids(spark):
     pages = spark.createDataFrame([(2**53 + 1, None, "<p>a"), (None, None, None)], "page_id long, url string, html string").coalesce(1)
     assert {r.page_id for r in html_text.extract(pages).collect()} == {2**53 + 1, None}
+
+
+# ---- notices next to each other, bit rows, extra columns -------------------------------------------------------------
+
+@pytest.mark.parametrize("times", [1, 2, 3, 500])
+def test_notices_next_to_each_other_are_all_found(times):
+    notice = "Released under the MIT License. "
+    found = license_scan.scan(notice * times, license_scan.index(tuple(license_scan.TEMPLATES.items())))
+    assert [a for _, a, _, _ in found] == [i * len(notice) for i in range(times)]
+
+
+def test_bit_rows_tell_whether_an_earlier_leaf_is_shared():
+    rng = np.random.default_rng(2)
+    held = [np.sort(rng.choice(300, 12, replace=False)) for _ in range(80)]
+    leaves = np.array([[*h, -1] for h in held], np.int32)
+    x, y = tree_forest._earlier_bits(leaves[:30], leaves[30:], 150)
+    got = (x[:, None] & y[None]).any(2)
+    want = [[bool({*a[a < 150]} & {*b[b < 150]}) for b in held[30:]] for a in held[:30]]
+    assert got.tolist() == want
