@@ -119,10 +119,12 @@ def mixed_documents(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFram
     so ids should be unique where the number of words must be met exactly.
     """
     drawn = mix(docs, max_repeats).groupBy("doc_id", "source").agg(F.max("copies").alias("_n")).where("_n > 0")
-    keyed = drawn.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_n")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-    return (docs.join(keyed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-            .select(*docs.columns))
+    keyed = drawn.alias("keyed")
+    # the row travels as one value, so its columns may have any name
+    rows = docs.select("doc_id", "source", F.struct(*docs.columns).alias("row")).alias("docs")
+    same = (F.col("docs.doc_id").eqNullSafe(F.col("keyed.doc_id")) & F.col("docs.source").eqNullSafe(F.col("keyed.source")))
+    copies = F.explode(F.sequence(F.lit(1), F.col("keyed._n").cast("int"))).alias("copy")
+    return rows.join(keyed, same).select("docs.row", copies).select("row.*")
 
 
 def oracle(source: str = "documents") -> str:

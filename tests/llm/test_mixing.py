@@ -34,3 +34,16 @@ def test_targets_equal_filling(spark, sizes):
     table.executemany("insert into documents values (?, ?, ?)", docs)
     by_sql = dict(table.execute(f"select source, target from ({mixing.oracle()})").fetchall())
     assert all(by_sql[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    rows = [(i, "w " * (5 + i), "ab"[i % 2], i, i, i) for i in range(12)] + [(50, None, None, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _n int, copy int, _d int")
+    got = mixing.mixed_documents(docs)
+    taken = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    assert got.columns == docs.columns
+    counts = {}
+    for r in got.collect():
+        assert (r._n, r.copy, r._d) == (r.doc_id,) * 3
+        counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
+    assert counts == {d: n for d, n in taken.items() if n}
