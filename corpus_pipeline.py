@@ -13,14 +13,20 @@ from clientele.session import truncate
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; a null text is clean."""
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, machine, docs.columns).where(toxicity.rejected(F.col("_score")) == 0).select(*docs.columns)
+    # the row travels as one value, so its columns may have any name
+    scored = toxicity.score(docs.select("text", F.struct(*docs.columns).alias("row")), machine, ["row"])
+    return scored.where(toxicity.rejected(F.col("_score")) == 0).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group, once; documents without an id stay."""
+    """The document with the smallest id of each group, once per text; documents without an id stay.
+
+    Different texts under one id are different documents: all of them stay with
+    their id, equal ones become one.
+    """
     groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct().alias("kept")
+    named = docs.alias("docs").join(kept, F.col("docs.doc_id") == F.col("kept.kept_id"), "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.where("doc_id is null"))
 
 
