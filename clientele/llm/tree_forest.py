@@ -135,28 +135,33 @@ def grow(sample: np.ndarray, n: int, trees: int = TREES, seed: int = 17, miss: f
     return out
 
 
-def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest leaf that two rows of leaf numbers (ascending, padded with -1) share."""
-    best = np.full(len(a), np.iinfo(np.int32).max)
-    for j in range(a.shape[1]):
-        column = a[:, j:j + 1]
-        shared = ((b == column) & (column >= 0)).any(1)
-        best = np.minimum(best, np.where(shared, a[:, j], best))
-    return best
+def _earlier_bits(leaves_x: np.ndarray, leaves_y: np.ndarray, leaf: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bit rows of the leaves before ``leaf`` that each row holds, over those that several rows hold."""
+    both = np.concatenate([leaves_x, leaves_y])
+    row, column = np.nonzero((both >= 0) & (both < leaf))
+    names, at, times = np.unique(both[row, column], return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1
+    shared = times[at] > 1
+    row, bit = row[shared], place[at[shared]]
+    bits = np.zeros((len(both), int((times > 1).sum()) // 64 + 1), np.uint64)
+    np.bitwise_or.at(bits, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+    return bits[:len(leaves_x)], bits[len(leaves_x):]
 
 
 def compare(x: np.ndarray, y: np.ndarray, same: bool, leaf: int, leaves_x: np.ndarray, leaves_y: np.ndarray,
             cosine: float = COSINE, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j) of the pairs that link and whose first shared leaf is this one."""
     found_i, found_j = [], []
+    bits_x, bits_y = _earlier_bits(leaves_x, leaves_y, leaf)
+    step = max(1000, 4_000_000 // bits_x.shape[1])
     for start in range(0, len(x), rows):
         near = x[start:start + rows] @ y.T >= cosine
         if same:
             near &= np.arange(start, start + len(near))[:, None] < np.arange(len(y))[None]
         i, j = np.nonzero(near)
-        for a in range(0, len(i), 100_000):
-            p, q = i[a:a + 100_000] + start, j[a:a + 100_000]
-            first = _first_shared(leaves_x[p], leaves_y[q]) == leaf
+        for a in range(0, len(i), step):
+            p, q = i[a:a + step] + start, j[a:a + step]
+            first = ~(bits_x[p] & bits_y[q]).any(1)
             found_i.append(p[first])
             found_j.append(q[first])
     return (np.concatenate(found_i), np.concatenate(found_j)) if found_i else (np.zeros(0, int), np.zeros(0, int))
