@@ -106,10 +106,26 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements in page order (parents first) and the text runs as (node, text)."""
     nodes, runs = [Node("root", (), -1)], []
     open_: list[tuple[str, int]] = [("root", 0)]  # every open element with its block node
+    count: dict[str, int] = {}  # open elements by name, the root left out
+    blocks: list[int] = []  # places of the open blocks in open_
     parts: list[str] = []
-    links, at = 0, 0
+    at = 0
+    text_ends = _TextEnds(page)
     ends: dict[int, int] | None = None
 
+    def pop() -> str:
+        name = open_.pop()[0]
+        count[name] -= 1
+        if name in _BLOCKS:
+            blocks.pop()
+        return name
+
+    def push(name: str, node: int) -> None:
+        if name in _BLOCKS:
+            blocks.append(len(open_))
+        open_.append((name, node))
+        count[name] = count.get(name, 0) + 1
+
     def flush() -> None:
         text = " ".join("".join(parts).split())
         parts.clear()
@@ -120,7 +136,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     def add(raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if links:
+        if count.get("a"):
             nodes[open_[-1][1]].linked += len(text.strip())
 
     while at < len(page):
@@ -136,22 +152,19 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if not name:
             continue
         if m["close"] or m["close2"]:
-            if any(n == name for n, _ in reversed(open_)):
+            if count.get(name):
                 if name in _BLOCKS:
                     flush()
-                while open_[-1][0] != name:
-                    links -= open_[-1][0] == "a"
-                    open_.pop()
-                links -= name == "a"
-                open_.pop()
+                while pop() != name:
+                    pass
             elif name == "p":
                 flush()
         elif name in _RAW or name not in _VOID and name != "body" and name != "html" and _hidden(rest):
             if name in _TEXT_ONLY or name == "head":
-                at = _skip(page, at, name, _closes_itself(rest))
+                at = _skip(text_ends, at, name, _closes_itself(rest))
             elif not _closes_itself(rest):
                 if ends is None:
-                    ends = _ends(page)
+                    ends = _ends(text_ends)
                 at = ends.get(at, at)
         elif name in _VOID:
             if name == "hr":
@@ -161,36 +174,45 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         else:
             if name in _BLOCKS:
                 flush()
-                while len(open_) > 1:
-                    inner = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] in _BLOCKS), 0)
-                    if inner and name in _CLOSED_BY.get(open_[inner][0], ()):
-                        links -= sum(n == "a" for n, _ in open_[inner:])
-                        del open_[inner:]
-                    else:
-                        break
+                while blocks and name in _CLOSED_BY.get(open_[blocks[-1]][0], ()):
+                    inner = blocks[-1]
+                    while len(open_) > inner:
+                        pop()
                 nodes.append(Node(name, _kinds(rest), open_[-1][1]))
-                open_.append((name, len(nodes) - 1))
+                push(name, len(nodes) - 1)
             elif not rest.endswith("/"):
-                links += name == "a"
-                open_.append((name, open_[-1][1]))
+                push(name, open_[-1][1])
     flush()
     return nodes, runs
 
 
-def _text_end(page: str, at: int, name: str) -> int:
-    """The place after the end tag of an element whose content is text alone; -1 if there is none."""
-    m = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-    return m.end() if m else -1
+class _TextEnds:
+    """Finds the end tags of elements whose content is text alone. Each search is remembered, as the next element of
+    the name often ends at the same tag or, as that one, nowhere.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.found: dict[str, tuple[int, int, int]] = {}  # searched from, start of the tag, place after it
+
+    def after(self, at: int, name: str) -> int:
+        """The place after the first end tag from ``at`` on; -1 if there is none."""
+        begin, start, end = self.found.get(name, (0, -1, -1))
+        if not begin <= at <= start:
+            m = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(self.page, at)
+            start, end = m.span() if m else (len(self.page), -1)
+            self.found[name] = at, start, end
+        return end
 
 
 _BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCKS - {'html'}))}|head)(?=[\s/>])", re.I)
 
 
-def _skip(page: str, at: int, name: str, closed: bool) -> int:
+def _skip(text_ends: _TextEnds, at: int, name: str, closed: bool) -> int:
     """The place after the end of an element whose content is text alone or the head's; ``at`` if it has no end."""
     if closed and name not in ("script", "style"):
         return at
-    end = _text_end(page, at, name)
+    page, end = text_ends.page, text_ends.after(at, name)
     if end >= 0 and (closed or name == "iframe"):  # HTML overlooks the slash, XHTML does not: the next start tag tells
         start = re.compile(rf"<{name}(?=[\s/>])", re.I).search(page, at, end)
         end = -1 if start else end
@@ -200,17 +222,24 @@ def _skip(page: str, at: int, name: str, closed: bool) -> int:
     return block.start() if block else len(page)
 
 
-def _ends(page: str) -> dict[int, int]:
+def _ends(text_ends: _TextEnds) -> dict[int, int]:
     """For each element by the place after its start tag, where it ends: its own end tag or where HTML implies it.
     Elements without an end are left out. One pass over the tags.
     """
+    page = text_ends.page
     out: dict[int, int] = {}
-    open_: list[tuple[str, int]] = []
-    count: dict[str, int] = {}
+    open_: list[tuple[str, int] | None] = []  # None where an inline element ended before those opened after it
+    places: dict[str, list[int]] = {}  # places of the open elements in open_, by name
+    holders: list[int] = []  # those of the holders
 
     def pop(place: int) -> None:
-        name, begin = open_.pop()
-        count[name] -= 1
+        last = open_.pop()
+        if last is None:
+            return
+        name, begin = last
+        places[name].pop()
+        if name in _HOLDERS:
+            holders.pop()
         if name in _END_LEFT_OUT:
             out[begin] = place
 
@@ -222,31 +251,31 @@ def _ends(page: str) -> dict[int, int]:
         if not name or name in _VOID:
             continue
         if m["close"] or m["close2"]:
-            if not count.get(name):
+            if not places.get(name):
                 continue
+            i = places[name][-1]
+            begin = open_[i][1]
             if name in _HOLDERS:
-                while open_[-1][0] != name:
+                while len(open_) > i:
                     pop(m.start())
-                out[open_[-1][1]] = at
-                open_.pop()
             else:  # inline elements may overlap
-                i = next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name)
-                out[open_[i][1]] = at
-                del open_[i]
-            count[name] -= 1
+                places[name].pop()
+                open_[i] = None
+            out[begin] = at
             continue
         if name in _TEXT_ONLY:
-            at = _skip(page, at, name, _closes_itself(rest))
+            at = _skip(text_ends, at, name, _closes_itself(rest))
             continue
         if _closes_itself(rest) and (name in _RAW or _hidden(rest)):
             continue
-        while inner := next((i for i in range(len(open_), 0, -1) if open_[i - 1][0] in _HOLDERS or open_[i - 1][0] == "option"), 0):
-            if name not in _ENDS_BY.get(open_[inner - 1][0], ()):
-                break
-            while len(open_) >= inner:
+        while holders and name in _ENDS_BY.get(open_[holders[-1]][0], ()):
+            inner = holders[-1]
+            while len(open_) > inner:
                 pop(m.start())
+        places.setdefault(name, []).append(len(open_))
+        if name in _HOLDERS:
+            holders.append(len(open_))
         open_.append((name, at))
-        count[name] = count.get(name, 0) + 1
     while open_:
         pop(len(page))
     return out

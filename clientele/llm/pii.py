@@ -274,16 +274,22 @@ class Detector:
         """Base spans and all spans, each in the order of start, then kind."""
         if not text:
             return [], []
-        base = base_spans(text)
+        base, proposed = base_spans(text), proposals(text)
+        if not proposed:
+            return base, base
+        covered = bytearray(len(text))  # a mark per code point, so each test costs the length of one span
+        for start, _, end in base:
+            covered[start:end] = b"x" * (end - start)
         chosen = []
-        for start, kind, end in proposals(text):
-            if not any(s < end and start < e for s, _, e in base):
+        for start, kind, end in proposed:
+            if covered.find(b"x", start, end) < 0:
                 p = self.probability(features(text, start, kind, end))
                 if p >= PRECISION:
                     chosen.append((-p, start, kind, end))
         added: list[tuple[int, int, int]] = []
         for _, start, kind, end in sorted(chosen):  # the likelier of two overlapping proposals
-            if not any(s < end and start < e for s, _, e in added):
+            if covered.find(b"x", start, end) < 0:
+                covered[start:end] = b"x" * (end - start)
                 added.append((start, kind, end))
         return base, sorted(base + added)
 
