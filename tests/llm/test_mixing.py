@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from clientele.llm import mixing
+from clientele.llm.common import table
 
 
 def filled(sizes, limit=3):
@@ -47,3 +48,37 @@ def test_mixed_documents_keep_columns_of_any_name(spark):
         assert (r._n, r.copy, r._d) == (r.doc_id,) * 3
         counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
     assert counts == {d: n for d, n in taken.items() if n}
+
+
+def test_rows_without_ids_and_equal_rows_meet_the_target(spark):
+    texts = [(None, "w " * (1 + i % 9) + str(i), "a") for i in range(300)] + [(None, "same text", "a")] * 40
+    texts += [(7, "one two three", "b")] * 25 + [(i, None, "b") for i in range(5)] + [(100 + i, "w " * (i % 5), None) for i in range(30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    want = {s: (t, n) for s, t, n in ((r.source, r.target, r.n) for r in mixing.mix(docs).groupBy("source", "target").agg(
+        {"taken": "sum"}).withColumnRenamed("sum(taken)", "n").collect())}
+    out = mixing.mixed_documents(docs)
+    got = {r.source: r.n for r in out.select("source", mixing.words(out.text).alias("n")).groupBy("source").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert got == {s: n for s, (_, n) in want.items()}
+    assert all(abs(t - n) <= 10 for t, n in want.values())
+
+
+def test_longer_documents_are_likelier_and_the_draw_equals_the_sql(spark):
+    rows = [(i, "w " * (20 if i % 2 else 2000), "ab"[i % 4 < 2]) for i in range(3000)] + [(None, "w " * i, "a") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    for source in "ab":
+        mean = [sum(r.copies for r in got if r.source == source and (r.size > 1000) == long) / sum(
+            r.source == source and (r.size > 1000) == long for r in got) for long in (False, True)]
+        taken = [r for r in got if r.source == source]
+        assert mean[1] > mean[0] + 0.05 and abs(sum(r.taken for r in taken) - taken[0].target) <= 2000
+    documents = docs.toPandas()  # noqa: F841  (read by the SQL)
+    documents["doc_id"] = documents["doc_id"].astype("Int64")
+    by_sql = duckdb.sql(mixing.oracle()).fetchall()
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(by_sql, key=key) == sorted((tuple(r)[:6] for r in got), key=key)
+
+
+def test_whole_table_equals_the_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    got = [tuple(r)[:6] for r in mixing.mix(table(spark, folder, "documents")).collect()]
+    assert sorted(got) == sorted(duckdb.sql(mixing.oracle(f"'{folder}/documents.parquet'")).fetchall())
