@@ -267,11 +267,11 @@ def _compressed(docs: DataFrame) -> DataFrame:
 
 
 def _with_texts(found: DataFrame, docs: DataFrame) -> DataFrame:
-    per_doc = found.groupBy("doc", "tag").agg(F.collect_list("packed").alias("packed"))
+    per_doc = found.groupBy("doc", "tag").agg(F.collect_set("packed").alias("packed"))
     return _compressed(docs).join(per_doc, ["doc", "tag"])
 
 
-def _records(frames: Iterator[pd.DataFrame], splitters: np.ndarray | None) -> Iterator[pd.DataFrame]:
+def _records(frames: Iterator[pd.DataFrame], splitters: np.ndarray | None, spread: int = 1) -> Iterator[pd.DataFrame]:
     z = zstandard.ZstdDecompressor()
     names = [c.split(" ")[0] for c in _RECORD.split(", ")]
     for frame in frames:
@@ -286,7 +286,7 @@ def _records(frames: Iterator[pd.DataFrame], splitters: np.ndarray | None) -> It
             out += [(0, doc, tag, *x) for x in cut(text, packed)]
             load += len(text)
             if load > BATCH_BYTES or i == len(frame) - 1:
-                yield _placed(pd.DataFrame(out, columns=names), splitters)
+                yield _placed(pd.DataFrame(out, columns=names), splitters, spread)
                 out, load = [], 0
 
 
@@ -294,7 +294,7 @@ def _keys(suffix: pd.Series, before: pd.Series) -> np.ndarray:
     return np.array([s.ljust(_RIGHT, b"\0") + b for s, b in zip(suffix, before)], f"S{_RIGHT + _LEFT}")
 
 
-def _placed(frame: pd.DataFrame, splitters: np.ndarray | None) -> pd.DataFrame:
+def _placed(frame: pd.DataFrame, splitters: np.ndarray | None, spread: int) -> pd.DataFrame:
     """Equal records of this batch merged into the earliest (the others are repeats in all their windows); buckets set."""
     if splitters is None or not len(frame):
         return frame[frame.bucket >= 0]
@@ -306,8 +306,11 @@ def _placed(frame: pd.DataFrame, splitters: np.ndarray | None) -> pd.DataFrame:
     kept = records[~later].copy()
     kept["bucket"] = np.searchsorted(splitters, _keys(kept.suffix, kept.before), "right")
     done = pd.concat([frame[whole], records[later].assign(suffix=b"", before=b"")])
-    # rows that are decided travel along under numbers past the buckets
-    done["bucket"] = len(splitters) + 1 + (done.doc.to_numpy() + done["at"].to_numpy()) % 64
+    done = done.drop_duplicates(["doc", "tag", "at", "l_lo", "l_hi"])  # equal rows of one id
+    # rows that are decided travel along under numbers past the buckets, as many as their number asks for
+    mixed = (done.doc.to_numpy(np.int64).view(np.uint64) * _MIX[0] + done.tag.to_numpy(np.int64).view(np.uint64) * _MIX[1]
+             + done["at"].to_numpy(np.int64).view(np.uint64) * _MIX[2]) >> np.uint64(32)
+    done["bucket"] = len(splitters) + 1 + (mixed % np.uint64(spread)).astype(np.int64)
     return pd.concat([kept, done])
 
 
@@ -350,7 +353,8 @@ def repeats(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, splitter_rows: int
     buckets = max(1, min(-(-n // bucket_rows), len(ordered) // 4))
     splitters = ordered[np.linspace(0, len(ordered), buckets + 1).astype(int)[1:-1]]
     handle = docs.sparkSession.sparkContext.broadcast(splitters)  # at most splitter_rows keys
-    records = _with_texts(found, docs).mapInPandas(lambda frames: _records(frames, handle.value), _RECORD)
+    spread = max(64, -(-n // bucket_rows))
+    records = _with_texts(found, docs).mapInPandas(lambda frames: _records(frames, handle.value, spread), _RECORD)
     removed = truncate(records.groupBy("bucket").applyInPandas(lambda frame: _bucket(frame, handle.value), _REMOVED))
     inside = removed.where("window is null").drop("window")
     edge = removed.where("window is not null")
@@ -377,7 +381,7 @@ def dedup(docs: DataFrame, texts_out: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row and, if ``texts_out``, the bytes that are left."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts_out
     names = [c.split(" ")[0] for c in schema.split(", ")]
-    ranges = repeats(docs).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    ranges = repeats(docs).groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         z = zstandard.ZstdDecompressor()
