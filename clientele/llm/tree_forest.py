@@ -17,8 +17,9 @@ is ever written: each comparison returns one row per vector, with its number
 of links and a smaller vector it is connected to.
 
 Defined results: vectors that are null, zero or with null or non-finite
-components, and vectors of another length than most, link with nothing: 0
-links, a component of their own; repeated rows of one id are one vector (one
+components link with nothing: 0 links, a component of their own; vectors of
+different lengths do not link, each length has its own forest; components of
+any finite size count, as vectors are scaled by a power of two first; repeated rows of one id are one vector (one
 result row per input row); null ids give null results; an empty table gives an
 empty result; other columns are not read.
 """
@@ -199,21 +200,40 @@ def _links(frame: pd.DataFrame) -> pd.DataFrame:
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row."""
-    spark = vectors.sparkSession
-    valid = usable(vectors, vec_id, embedding).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(largest)))  # exact, so cosines do not change
+    valid = (usable(vectors, vec_id, embedding).withColumn("_scale", scale)
+             .select("vec_id", F.transform("vec", lambda x: x / F.col("_scale")).alias("vec"))
+             .groupBy("vec_id").agg(F.min("vec").alias("vec")))
     copies = truncate(valid.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    n = copies.count()
-    sample = copies.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).toPandas()
     every_id = vectors.select(F.col(vec_id).cast("long").alias("vec_id"))
-    if not len(sample):
-        return every_id.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                               F.lit(True).alias("kept"))
-    d = int(sample.vec.map(len).mode()[0])
-    unit = np.stack(sample.vec[sample.vec.map(len) == d].to_list())
+    # one row per length of vector; a model gives one or two
+    lengths = {r.d: r.n for r in copies.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).where("n > 1").collect()}
+    found = None
+    for d, n in sorted(lengths.items()):
+        links = truncate(_links_of_length(copies.where(F.size("vec") == d), d, n))
+        found = links if found is None else found.unionByName(links)
+    if found is None:
+        found = copies.sparkSession.createDataFrame([], "rep long, n long, root long")
+    counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
+    joined = components(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    per_copy = truncate(copies.join(counted, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
+        F.col("vec").alias("_vec"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "rep").alias("component_id")))
+    member = truncate(valid.join(per_copy, F.col("vec") == F.col("_vec")).select(
+        F.col("vec_id").alias("_id"), "n_links", "component_id"))
+    own = F.coalesce("component_id", "vec_id")
+    return every_id.join(member, F.col("vec_id") == F.col("_id"), "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"),
+        (F.col("vec_id") == own).alias("kept"))
+
+
+def _links_of_length(copies: DataFrame, d: int, n: int) -> DataFrame:
+    """(rep, n, root) per comparison, from the ``n`` distinct vectors of ``d`` components."""
+    sample = copies.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).toPandas()
+    unit = np.stack(sample.vec.to_list())
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    forest = grow(unit, n)
-    model, width = spark.sparkContext.broadcast(forest), margin(d)  # bounded by the sample
-    copies = copies.where(F.size("vec") == d)
+    model, width = copies.sparkSession.sparkContext.broadcast(grow(unit, n)), margin(d)  # bounded by the sample
 
     @F.pandas_udf("leaves array<int>, unit binary")
     def leaves_of(vec: pd.Series) -> pd.DataFrame:
@@ -238,15 +258,4 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
              .select("leaf", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"),
                      (F.col("c") > F.col("other")).alias("second"), "rep", "copies", "unit", "leaves"))
-    found = truncate(tasks.groupBy("leaf", "i", "j").applyInPandas(_links, "rep long, n long, root long"))
-    counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    joined = components(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    per_copy = truncate(copies.join(counted, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        F.col("vec").alias("_vec"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id")))
-    member = truncate(valid.join(per_copy, F.col("vec") == F.col("_vec")).select(
-        F.col("vec_id").alias("_id"), "n_links", "component_id"))
-    own = F.coalesce("component_id", "vec_id")
-    return every_id.join(member, F.col("vec_id") == F.col("_id"), "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"),
-        (F.col("vec_id") == own).alias("kept"))
+    return tasks.groupBy("leaf", "i", "j").applyInPandas(_links, "rep long, n long, root long")
