@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 
 from clientele.checks.registry import query, retail, rounded
-from clientele.checks.segments import SEGMENTED, segmented
+from clientele.checks.segments import ATTRIBUTE_ROWS, ATTRIBUTES, SEGMENTED, segmented
 from clientele.operators import cohorts as co
 from clientele.operators import lookups as lk
 from clientele.operators import segments as sg
@@ -48,6 +48,13 @@ def _cohorts(t):
     return rounded(df.withColumn("cluster_ids", F.array_join("cluster_ids", ",")))
 
 
+@retail("g07_cohort_clusters", f"""WITH {CLUSTERED} SELECT cohort_id, cohort_name, cluster, count(*) AS customers,
+  round(count(*) * 100.0 / any_value(n), 2) AS share FROM clustered JOIN (SELECT cohort_name, count(*) AS n FROM clustered GROUP BY 1) a USING (cohort_name)
+  WHERE cluster <> -1 GROUP BY 1, 2, 3""")
+def _cohort_clusters(t):
+    return rounded(co.cohort_clusters(clustered(t)))
+
+
 _CLUSTERS = CLUSTERED + """,
 means AS (SELECT cluster AS cluster_id, count(*) AS size, round(avg(recency), 1) AS avg_recency, round(avg(frequency), 2) AS avg_frequency,
   round(CAST(sum(monetary) AS DOUBLE) / count(*), 2) AS avg_monetary, round(avg(RFM_total), 2) AS avg_rfm_total
@@ -129,6 +136,22 @@ def _document(t):
     return document.select(F.to_json(F.struct("*")).alias("document"))
 
 
+@retail("s24_playbook_segments", f"""WITH {COHORTS}, a({ATTRIBUTES}) AS (VALUES {ATTRIBUTE_ROWS})
+SELECT cohort_name, customer_count, percentage, description, marketing_goal, priority, budget_allocation, actions, kpis,
+  avg_monetary AS avg_customer_value FROM profiles JOIN (SELECT * EXCLUDE prio FROM a) b USING (cohort_name)""")
+def _stored_playbook(t):
+    """The document written as JSON and read again, with the texts of its lists."""
+    import uuid
+
+    from clientele.session import scratch_folder
+
+    spark = t.orders.sparkSession
+    path = f"{scratch_folder(spark)}/playbook-{uuid.uuid4().hex}"
+    res.write_playbook(res.playbook(co.cohort_profiles(clustered(t)), "2024-01-01T00:00:00"), path)
+    rows = res.read_playbook(spark, path)
+    return rounded(rows.withColumns({c: F.array_join(c, " | ") for c in ("actions", "kpis")}))
+
+
 @retail("g13_run_summary", f"""WITH {CLUSTERED} SELECT count(*) AS customers, count(DISTINCT cohort_name) AS segments,
   count(*) FILTER (WHERE cluster <> -1) AS clustered, count(DISTINCT cluster) FILTER (WHERE cluster <> -1) AS clusters,
   count(*) FILTER (WHERE cluster = -1) AS noise FROM clustered""")

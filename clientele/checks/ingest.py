@@ -73,6 +73,13 @@ def _manifest(spark, sf_dir):
     return ing.manifest_check(spark, sf_dir, _EXPECTED)
 
 
+@query("s13_manifest_rows", " UNION ALL ".join(
+    f"SELECT '{n}' AS file, 'found' AS status, count(*) AS rows FROM {n.removesuffix('.parquet')}" if n != "geolocation.parquet"
+    else f"SELECT '{n}', 'missing', NULL" for n in _EXPECTED))
+def _manifest_rows(spark, sf_dir):
+    return ing.manifest_rows(spark, sf_dir, _EXPECTED)
+
+
 _NAMES = ["customers", "orders", "order_items", "products", "order_payments", "order_reviews", "sellers"]
 
 
@@ -172,6 +179,36 @@ def _report(t):
     return q.check_table(t.order_items, DECLARED["order_items"], parents)
 
 
+# The declared columns that the sample tables hold; the SQL counts their values.
+_HELD = {
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+               "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "products": ["product_id", "product_category_name", "product_name_length", "product_photos_qty", "product_weight_g"],
+    "order_payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "order_reviews": ["review_id", "order_id", "review_score", "review_comment_message", "review_creation_date"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+}
+# a column of a seller is null where the one it is derived from is
+SELLERS = ("(SELECT s_suppkey AS seller_id, s_suppkey AS seller_zip_code_prefix, s_suppkey AS seller_city, s_nationkey AS seller_state "
+           "FROM supplier) z")
+
+
+def _filled_sql(table, field):
+    held = field.name in _HELD[table]
+    source = {"orders": "shop_orders", "sellers": SELLERS}.get(table, table)
+    return (f"SELECT '{table}' AS \"table\", '{field.name}' AS column, '{field.kind}' AS declared, {held} AS present, "
+            f"{f'count({field.name})' if held else 'NULL'} AS filled, count(*) AS rows FROM {source}")
+
+
+@retail("s01_declared_columns", tables(" UNION ALL ".join(
+    _filled_sql(n, f) for n in _NAMES for f in DECLARED[n].fields)))
+def _declared_columns(t):
+    """Every declared column: whether the table has it, and how many of its rows hold a value."""
+    return q.filled_columns({n: (getattr(t, n), DECLARED[n]) for n in _NAMES})
+
+
 @query("s01_declared_types")
 def _declared(spark, sf_dir):
     """Given tables against the declared columns: which exist and with which type."""

@@ -211,6 +211,26 @@ def _completed(spark, sf_dir):
     return cv.complete_comparisons(df).select("conv_id", "turn", F.array_join("segment_names", ",").alias("names"))
 
 
+@query("n12_text_comparisons", f"""WITH {_BEFORE},
+q AS (SELECT conv_id, turn, n_named, named, referred, CASE WHEN comparing AND n_named > 0 THEN 'compare_segments'
+    WHEN referred IS NOT NULL THEN 'get_segment_details' WHEN prioritising THEN 'smart_customer_query' END AS tool FROM z),
+l AS (SELECT *, last_value(CASE WHEN tool = 'get_segment_details' THEN referred END IGNORE NULLS) OVER (
+  PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM q)
+SELECT conv_id, turn, tool, CASE WHEN tool = 'compare_segments' THEN
+  CASE WHEN n_named = 1 AND prev <> named THEN prev || ', ' || named ELSE named END END AS names FROM l""")
+def _text_comparisons(spark, sf_dir):
+    """Comparisons of the messages' own texts: one that names a single segment is completed from the conversation."""
+    users = cv.with_context_before(messages(spark, sf_dir)).filter(F.col("role") == "user")
+    asked = users.select("conv_id", "turn", "text", it.resolve(F.col("text"), F.col("discussed")).alias("r")).select("conv_id", "turn", "text", "r.*")
+    low = F.lower("text")
+    named = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(k)), k.title()) for k in it.COHORTS]))
+    comparing = F.greatest(*[F.contains(low, F.lit(k)) for k in it.COMPARISON]) & (F.size(named) > 0)
+    requests = asked.select(
+        "conv_id", "turn", F.when(comparing, "compare_segments").otherwise(F.col("tool")).alias("tool"),
+        F.col("segment").alias("segment_name"), F.when(comparing, named).alias("segment_names"))
+    return cv.complete_comparisons(requests).select("conv_id", "turn", "tool", F.array_join("segment_names", ", ").alias("names"))
+
+
 def _answers(spark, sf_dir):
     t = derive_retail(spark, sf_dir)
     return lk.segment_array(lk.segment_list(playbook_of(t))), hinted(t), truncate(co.value_behaviour_anomalies(clustered(t)))

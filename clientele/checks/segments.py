@@ -96,6 +96,22 @@ def _attributes(t):
                      F.size("kpis").cast("long").alias("n_kpis"))
 
 
+# The same with the texts of the lists.
+ATTRIBUTES = "cohort_name, prio, description, marketing_goal, budget_allocation, actions, kpis"
+ATTRIBUTE_ROWS = ", ".join(
+    "(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in (
+        s["name"], s["priority"], s["description"], s["marketing_goal"], s["budget_allocation"], " | ".join(s["actions"]),
+        " | ".join(s["kpis"]))) + ")"
+    for s in sg.SEGMENTS)
+
+
+@retail("g02_segment_texts", f"""WITH {SEGMENTED}, a({ATTRIBUTES}) AS (VALUES {ATTRIBUTE_ROWS})
+SELECT customer_unique_id, cohort_name, actions, kpis FROM segmented LEFT JOIN a USING (cohort_name)""")
+def _attribute_texts(t):
+    df = sg.with_segment_attributes(segmented(t).select(ID, "cohort_name"))
+    return df.select(ID, "cohort_name", F.array_join("recommended_actions", " | ").alias("actions"), F.array_join("kpis", " | ").alias("kpis"))
+
+
 @retail("g03_cohort_priority", f"WITH {SEGMENTED} SELECT customer_unique_id, cohort_id, priority FROM segmented")
 def _priority(t):
     return rounded(segmented(t).select(ID, "cohort_id", "priority"))

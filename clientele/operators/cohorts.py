@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientele.functions.semantics import ratio, smallest_mode
 from clientele.operators.segments import with_segment_attributes
@@ -31,8 +32,24 @@ def _mean(total: str, n: str, digits: int) -> Column:
     return F.round(ratio(F.col(total), F.col(n)), digits)
 
 
-def cohort_profiles(df: DataFrame) -> DataFrame:
-    """One row per segment with its size, averages, attributes and clusters."""
+def cohort_clusters(df: DataFrame) -> DataFrame:
+    """(cohort_id, cohort_name, cluster, customers, share): one row per segment and cluster, noise left out.
+
+    ``share`` is the part of the segment's customers, in percent.
+    """
+    parts = df.groupBy("cohort_name", "cluster").agg(F.count("*").alias("customers"))
+    totals = parts.groupBy("cohort_name").agg(F.sum("customers").alias("_all"))  # 11 segments
+    return with_segment_attributes(parts.filter(F.col("cluster") != NOISE).join(F.broadcast(totals), "cohort_name")).select(
+        "cohort_id", "cohort_name", "cluster", "customers",
+        F.round(ratio(F.col("customers"), F.col("_all")) * 100, 2).alias("share"))
+
+
+def cohort_profiles(df: DataFrame, list_clusters: bool = True) -> DataFrame:
+    """One row per segment with its size, averages, attributes and clusters.
+
+    With very many clusters, ``list_clusters=False`` leaves ``cluster_ids``
+    null, and ``cohort_clusters`` has them as rows.
+    """
     real = F.col("cluster") != NOISE
     parts = df.groupBy("cohort_name", "cluster").agg(
         F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("recency", "frequency", "monetary")])
@@ -40,7 +57,8 @@ def cohort_profiles(df: DataFrame) -> DataFrame:
     grouped = parts.groupBy("cohort_name").agg(
         F.sum("n").alias("customer_count"),
         *[F.sum(c).alias(c) for c in ("recency", "frequency", "monetary")],
-        F.sort_array(F.collect_set(F.when(real, F.col("cluster")))).alias("cluster_ids"),
+        (F.sort_array(F.collect_set(F.when(real, F.col("cluster")))) if list_clusters
+         else F.lit(None).cast(T.ArrayType(df.schema["cluster"].dataType))).alias("cluster_ids"),
         F.coalesce(F.sum(F.when(~real, F.col("n"))), F.lit(0)).alias("includes_noise_points"),
     )
     return with_segment_attributes(grouped).select(

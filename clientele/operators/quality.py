@@ -91,3 +91,21 @@ def term_index(df: DataFrame, id_col: str, text: str) -> DataFrame:
         df.select(F.col(id_col), F.explode(words).alias("term")).filter("term <> ''")
         .groupBy("term", id_col).agg(F.count("*").alias("tf"))
     )
+
+
+def filled_columns(tables: dict) -> DataFrame:
+    """(table, column, declared, present, filled, rows) of every declared column of {name: (frame, declaration)}.
+
+    ``filled`` counts the values of a column, null if the frame has no such
+    column. Each table is read once.
+    """
+    result = None
+    for name, (df, declared) in tables.items():
+        counts = df.agg(F.count("*").alias("rows"), F.array(*[
+            F.struct(
+                F.lit(f.name).alias("column"), F.lit(f.kind).alias("declared"), F.lit(f.name in df.columns).alias("present"),
+                (F.count(f.name) if f.name in df.columns else F.lit(None)).cast("long").alias("filled"))
+            for f in declared.fields]).alias("c"))
+        part = counts.select(F.lit(name).alias("table"), "rows", F.inline("c"))
+        result = part if result is None else result.unionByName(part)
+    return result

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,3 +79,41 @@ def exploration_report(t: RetailTables, on_tied_edges: str = "raise") -> dict[st
         "key_insights": key_insights(t),
         **{f"histogram_{n}": ex.histogram(df, c, *ex.HISTOGRAMS[n]) for n, (df, c) in frames.items()},
     }
+
+
+# What names an entry of a section; sections of counts by value are not listed.
+SECTION_KEYS = {
+    "table_profile": ["table"], "distinct_counts": ["metric"], "order_overview": [], "category_performance": ["category"],
+    "review_summary": [], "payments_by_type": ["payment_type"], "rfm": ["customer_unique_id"], "heat_map": ["R_score"],
+    "correlations": ["a", "b"], "key_insights": ["metric"],
+}
+
+
+def section_keys(section: str) -> list[str]:
+    if section.endswith("_stats"):
+        return ["column", "stat"]
+    return ["bin"] if section.startswith("histogram_") else SECTION_KEYS.get(section, ["value"])
+
+
+def _cells(section: str, df: DataFrame) -> DataFrame:
+    keys, cells = section_keys(section), []
+    for field in df.schema.fields:
+        if field.name in keys:
+            continue
+        kind, value = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind.startswith("timestamp"):
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        textual = kind == "string" or kind.startswith("timestamp")
+        cells.append(F.struct(
+            F.lit(field.name).alias("measure"), (F.lit(None) if textual else value).cast("double").alias("number"),
+            (value if textual else F.lit(None)).cast("string").alias("text")))
+    entry = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return df.select(F.lit(section).alias("section"), entry.alias("entry"), F.inline(F.array(*cells)))
+
+
+def report_table(sections: dict[str, DataFrame]) -> DataFrame:
+    """(section, entry, measure, number, text): the whole report as one table, to be stored or compared between loads.
+
+    A value is in ``number``, or in ``text`` if it is a string or a time; the other one is null.
+    """
+    return reduce(DataFrame.unionByName, [_cells(name, df) for name, df in sections.items()])

@@ -259,6 +259,16 @@ def manifest_check(spark: SparkSession, folder: str, expected: list[str]) -> Dat
     )
 
 
+def manifest_rows(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
+    """(file, status, rows) of expected Parquet files; a missing file has no rows (null), an empty one 0."""
+    checked = manifest_check(spark, folder, expected)
+    found = [r.file for r in checked.collect() if r.status == "found"]  # one row per expected file
+    counts = row_counts({name: spark.read.parquet(f"{folder}/{name}") for name in found}) if found else None
+    if counts is None:
+        return checked.withColumn("rows", F.lit(None).cast("long"))
+    return checked.join(counts.withColumnRenamed("table", "file"), "file", "left")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, rows) of each frame."""
     result = None
