@@ -20,10 +20,14 @@ query gets k results if there are so many candidates.
 Rows are indexed in blocks of bounded size, and every query visits every block
 (queries are a stated share of the rows). Each visit returns its k best.
 
-Defined results: vectors that are null, zero, of another length than most, or
-with null or non-finite components take no part as query or candidate; ties go
-to the smaller id; repeated rows with the query's own id are not candidates; an
-empty table gives an empty result; other columns are not read.
+Defined results: vectors that are null, zero or with null or non-finite
+components take no part as query or candidate, nor do rows with a null id;
+vectors of different lengths have no inner product, so each length is searched
+by itself, with codes of its own; ties go to the smaller id; a product beyond
+the range of a double is infinite, and one that is no number ranks last;
+repeated rows with the query's own id are not candidates, other repeated rows
+are as many candidates; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ BITS = 256
 SAMPLE = 4096
 COVERED = 0.985
 BLOCK = 8192
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 8192  # every candidate is copied once for so many queries
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -52,6 +56,19 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
             .where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0)))
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; the largest component goes first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def products(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of the rows with ``y``, and what they rank by."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = x @ y
+    return score, np.where(np.isnan(score), -np.inf, score)
+
+
 @dataclass
 class Codes:
     """Rotations of the normalised vectors and the radius of the search."""
@@ -60,14 +77,13 @@ class Codes:
     radius: int
 
     def encode(self, x: np.ndarray) -> np.ndarray:
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        return np.packbits(unit @ self.rotations > 0, axis=1)
+        return np.packbits(unit_rows(x) @ self.rotations > 0, axis=1)
 
 
 def fit(sample: np.ndarray, k: int = 20, bits: int = BITS, covered: float = COVERED, seed: int = 3) -> Codes:
     """Iterative quantization for each group of as many bits as dimensions, then the radius."""
     rng = np.random.default_rng(seed)
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    unit = unit_rows(sample)
     d, parts = unit.shape[1], []
     while sum(p.shape[1] for p in parts) < bits:
         r = np.linalg.qr(rng.normal(size=(d, d)))[0]
@@ -79,7 +95,7 @@ def fit(sample: np.ndarray, k: int = 20, bits: int = BITS, covered: float = COVE
     packed, probe = codes.encode(sample), np.arange(0, len(sample), max(1, len(sample) // 512))
     near = []
     for i in probe.tolist():
-        s = sample @ sample[i]
+        s = products(sample, sample[i])[1]
         s[i] = -np.inf
         top = np.argsort(-s, kind="stable")[:min(k, len(s) - 1)]
         near.append(np.bitwise_count(packed[top] ^ packed[i]).sum(1))
@@ -131,36 +147,41 @@ def search_block(codes: Codes, ids: np.ndarray, vectors: np.ndarray, query_ids:
             if len(at) >= k or radius >= codes.rotations.shape[1]:
                 break
             radius += step
-        score = vectors[at] @ x
+        score, ranked = products(vectors[at], x)
         if len(at) > k:  # everything that ties with the k-th stays for the tie rule
-            keep = score >= np.partition(score, len(score) - k)[len(score) - k]
-            at, score = at[keep], score[keep]
-        order = np.lexsort((ids[at], -score))[:k]
+            keep = ranked >= np.partition(ranked, len(ranked) - k)[len(ranked) - k]
+            at, score, ranked = at[keep], score[keep], ranked[keep]
+        order = np.lexsort((ids[at], -ranked))[:k]
         out += [(q, int(ids[at[i]]), float(score[i])) for i in order]
     return out
 
 
-def learn(rows: DataFrame, k: int = 20) -> Codes | None:
-    """Fit on the bounded sample; None if there is no row."""
+def learn(rows: DataFrame, k: int = 20) -> Codes:
+    """Fit on the bounded sample of rows of one length."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
-    if not len(sample):
-        return None
-    length = sample.vec.map(len).mode()[0]
-    return fit(np.stack(sample.vec[sample.vec.map(len) == length].to_list()), k)
+    return fit(np.stack(sample.vec.to_list()), k)
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each vector whose id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    schema = "query_id long, vec_id long, score double"
     rows = truncate(usable(vectors))
-    codes = learn(rows, k)
-    if codes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d = codes.rotations.shape[0]
-    rows = rows.where(F.size("vec") == d)
-    model = spark.sparkContext.broadcast(codes)  # dimensions x bits numbers
-    n = rows.count()
+    # one row per length of vector; a model gives one or two
+    lengths = {r.d: r.n for r in rows.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).collect()}
+    best = None
+    for d, n in sorted(lengths.items()):
+        found = _nearest_of_length(rows.where(F.size("vec") == d), d, n, k, every)
+        best = found if best is None else best.unionByName(found)
+    if best is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    ranked = F.nanvl("score", F.lit(float("-inf")))
+    by_query = Window.partitionBy("query_id", "_d").orderBy(ranked.desc(), "vec_id")
+    return (best.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _nearest_of_length(rows: DataFrame, d: int, n: int, k: int, every: int) -> DataFrame:
+    """(_d, query_id, vec_id, score): the k nearest of each block, from ``n`` vectors of ``d`` components."""
+    model = rows.sparkSession.sparkContext.broadcast(learn(rows, k))  # dimensions x bits numbers
     blocks = max(1, -(-n // BLOCK))
     query_blocks = max(1, -(-n // (every * QUERY_BLOCK)))
     placed = rows.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
@@ -176,7 +197,5 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         found = search_block(model.value, ids[~asks], x[~asks], ids[asks], x[asks], k) if asks.any() and not asks.all() else []
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    best = candidates.unionByName(asked).groupBy("b", "g").applyInPandas(compare, schema)
-    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    found = candidates.unionByName(asked).groupBy("b", "g").applyInPandas(compare, "query_id long, vec_id long, score double")
+    return found.withColumn("_d", F.lit(d))
