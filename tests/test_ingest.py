@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 
 from clientele.sources import ingest as ing
@@ -97,3 +98,13 @@ def test_every_file_of_a_table_is_loaded(spark, folder, tmp_path):
     assert (audit["customers"].files, audit["customers"].rows_written) == (2, 3)
     assert {r.customer_id for r in spark.read.parquet(f"{out}/customers").collect()} == {"c1", "c2", "c3"}
     assert audit["order_payments"].unparsed_decimals == 1 and audit["order_reviews"].unparsed_timestamps == 0
+
+
+def test_manifest_rows(spark, tmp_path):
+    for name, n in (("three", 3), ("none", 0)):
+        pd.DataFrame({"id": pd.Series(range(n), dtype="int64")}).to_parquet(tmp_path / f"{name}.parquet")
+    found = ing.manifest_rows(spark, str(tmp_path), ["three.parquet", "none.parquet", "absent.parquet"])
+    missing = ing.manifest_rows(spark, str(tmp_path), ["absent.parquet"])
+    assert [tuple(r) for r in missing.collect()] == [("absent.parquet", "missing", None)]
+    assert {tuple(r) for r in found.collect()} == {
+        ("three.parquet", "found", 3), ("none.parquet", "found", 0), ("absent.parquet", "missing", None)}

@@ -8,7 +8,8 @@ from oracle import compare, connect
 SF = "/root/testdata/sf0.001"
 CHECKED = ["s17_base_fact", "s08_keep_first", "a08_avg_inter_purchase_days", "a16_price_std", "a44_customer_features",
            "e14_category_performance", "e22_heat_map", "g04_segment_distribution", "g07_cohort_profiles", "n02_intent",
-           "n13_resolved_requests", "n14_running_context", "t01_context_stream", "x10_feature_pipeline", "q08_constraint_report"]
+           "n13_resolved_requests", "n14_running_context", "t01_context_stream", "x10_feature_pipeline", "q08_constraint_report",
+           "s24_playbook_segments", "n12_text_comparisons", "s13_manifest_rows", "g07_cohort_clusters"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
