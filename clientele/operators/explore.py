@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from clientele.functions.semantics import clip_upper, floor_days, ratio, zero_if_null
 from clientele.operators.features import CUSTOMER
 from clientele.operators.rank import exact_quantiles
+from clientele.session import truncate
 from clientele.sources.tables import RetailTables, with_english_category
 
 # Clip bound and number of bins of the report's histograms.
@@ -49,8 +50,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, stat, value): count, mean, std, min, quartiles, max, exactly."""
+def describe(df: DataFrame, columns: list[str], stored: bool = False) -> DataFrame:
+    """(column, stat, value): count, mean, std, min, quartiles, max, exactly.
+
+    The quartiles take several passes, so the columns are stored first unless ``df`` is ``stored``.
+    """
+    if not stored:
+        df = truncate(df.select(*columns))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     row_of = {}
     for c in columns:
