@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -32,13 +33,14 @@ def key_insights(t: RetailTables) -> DataFrame:
 
 
 def exploration_report(t: RetailTables, on_tied_edges: str = "raise") -> dict[str, DataFrame]:
-    """All sections; nothing but the RFM frame is computed until a section is read."""
+    """All sections. Frames that several sections read are stored first: reviews, the RFM frame and what is described and drawn."""
+    t = replace(t, order_reviews=truncate(t.order_reviews))
     rfm = truncate(ex.order_grain_rfm(t))
     scored = sg.exploration_rfm_scores(rfm, on_tied_edges=on_tied_edges).withColumn(
         "segment", sg.exploration_segment(F.col("R_score"), F.col("F_score"), F.col("M_score")))
-    per_customer = ex.orders_per_customer(t)
-    values = ex.order_values(t.order_items)
-    lengths = ex.text_lengths(t.order_reviews)
+    per_customer = truncate(ex.orders_per_customer(t))
+    values = truncate(ex.order_values(t.order_items))
+    lengths = truncate(ex.text_lengths(t.order_reviews))
     products = with_english_category(t.products, t.product_category_translation)
     named = {name: frame for name, frame in vars(t).items() if frame is not None and name != "geolocation"}
     frames = {
@@ -52,10 +54,10 @@ def exploration_report(t: RetailTables, on_tied_edges: str = "raise") -> dict[st
         "repeat_customers": ex.value_counts(t.customers, "customer_unique_id"),
         "customers_by_state": ex.value_counts(t.customers, "customer_state"),
         "top_cities": ex.top_values(t.customers, "customer_city", 20),
-        "orders_per_customer_stats": ex.describe(per_customer, ["orders"]),
+        "orders_per_customer_stats": ex.describe(per_customer, ["orders"], stored=True),
         "order_overview": ex.order_overview(t.orders),
         "order_status": ex.value_counts(t.orders, "order_status"),
-        "order_value_stats": ex.describe(values, ["total_value", "item_count"]),
+        "order_value_stats": ex.describe(values, ["total_value", "item_count"], stored=True),
         "orders_by_month": ex.orders_by(t.orders, "month"),
         "orders_by_weekday": ex.orders_by(t.orders, "weekday"),
         "orders_by_hour": ex.orders_by(t.orders, "hour"),
@@ -65,14 +67,14 @@ def exploration_report(t: RetailTables, on_tied_edges: str = "raise") -> dict[st
         "product_sales_stats": ex.describe(ex.product_sales(t.order_items), ["order_count"]),
         "review_summary": ex.review_summary(t.order_reviews),
         "rating_distribution": ex.counts_by_value(t.order_reviews, "review_score"),
-        "rating_stats": ex.describe(t.order_reviews, ["review_score"]),
-        "text_length_stats": ex.describe(lengths, ["text_length"]),
+        "rating_stats": ex.describe(t.order_reviews, ["review_score"], stored=True),
+        "text_length_stats": ex.describe(lengths, ["text_length"], stored=True),
         "payment_types": ex.value_counts(t.order_payments, "payment_type"),
         "payments_by_type": ex.payments_by_type(t.order_payments),
         "card_installments": ex.counts_by_value(ex.card_installments(t.order_payments), "payment_installments", 12),
         "installment_stats": ex.describe(ex.card_installments(t.order_payments), ["payment_installments"]),
         "rfm": scored,
-        "rfm_stats": ex.describe(rfm, ["recency", "frequency", "monetary", "avg_order_value"]),
+        "rfm_stats": ex.describe(rfm, ["recency", "frequency", "monetary", "avg_order_value"], stored=True),
         "segment_distribution": ex.value_counts(scored, "segment"),
         "heat_map": sg.heat_map(scored),
         "correlations": ex.correlations(rfm, ["recency", "frequency", "monetary", "avg_order_value"]),
