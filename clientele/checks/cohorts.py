@@ -28,8 +28,9 @@ def clustered(t):
         "cluster_probability", F.lit(1.0))
 
 
-def playbook_of(t):
-    document = res.playbook(co.cohort_profiles(clustered(t)), "2024-01-01T00:00:00")
+def playbook_of(t, customers=None):
+    """The playbook of the clustered customers, who may be given as a stored table."""
+    document = res.playbook(co.cohort_profiles(clustered(t) if customers is None else customers), "2024-01-01T00:00:00")
     return truncate(res.playbook_rows(document))
 
 
@@ -86,10 +87,11 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster, kind ORDER BY coun
   UNION ALL SELECT cluster, 'state', state, count(*) FROM clustered JOIN places USING (customer_unique_id) WHERE cluster <> -1 GROUP BY 1, 2, 3) c)"""
 
 
-def _with_places(t):
-    facts = order_facts(t)
-    return clustered(t).join(basket_features(t, facts).select(CUSTOMER, "favorite_category"), CUSTOMER).join(
-        geographic_features(facts).select(CUSTOMER, "state"), CUSTOMER)
+def _with_places(t, customers=None):
+    """Stored, because a profile reads its members several times."""
+    facts, customers = order_facts(t), clustered(t) if customers is None else customers
+    return truncate(customers.join(basket_features(t, facts).select(CUSTOMER, "favorite_category"), CUSTOMER).join(
+        geographic_features(facts).select(CUSTOMER, "state"), CUSTOMER))
 
 
 @retail("g09_top_values", f"WITH {_TOPS} SELECT cluster AS cluster_id, kind, value, count FROM ranked WHERE place <= 3")
@@ -110,8 +112,8 @@ hinted AS (SELECT m.cluster_id, m.size, n.primary_cohort, m.avg_monetary, {_HINT
   JOIN ranked r ON r.cluster = m.cluster_id AND r.kind = 'category' AND r.place = 1 JOIN main n ON n.cluster_id = m.cluster_id)"""
 
 
-def hinted(t):
-    return truncate(co.cluster_profiles(_with_places(t), "favorite_category"))
+def hinted(t, customers=None):
+    return truncate(co.cluster_profiles(_with_places(t, customers), "favorite_category"))
 
 
 @retail("g10_personalization_hint", f"WITH {HINTED} SELECT cluster_id, personalization_hint FROM hinted")

@@ -233,7 +233,9 @@ def _text_comparisons(spark, sf_dir):
 
 def _answers(spark, sf_dir):
     t = derive_retail(spark, sf_dir)
-    return lk.segment_array(lk.segment_list(playbook_of(t))), hinted(t), truncate(co.value_behaviour_anomalies(clustered(t)))
+    customers = truncate(clustered(t))
+    segments = lk.segment_array(lk.segment_list(playbook_of(t, customers)))
+    return segments, truncate(hinted(t, customers)), truncate(co.value_behaviour_anomalies(customers))
 
 
 def _names_of(segments):
@@ -314,15 +316,16 @@ def _tools(spark, sf_dir):
 
 @query("t01_context_stream", ORACLES_N14)
 def _stream(spark, sf_dir):
-    """The streaming job over the table's messages, in two files, then its table."""
+    """The streaming job over the table's messages, in two batches of as many files as tasks can read at once, then its table."""
     import uuid
 
     from clientele.session import scratch_folder
     from clientele.streaming import context as cx
 
     root = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
-    messages(spark, sf_dir).repartition(2, "turn").write.parquet(f"{root}/in")
-    stream = cx.message_stream(spark, f"{root}/in", max_files_per_trigger=1)
+    df, files = messages(spark, sf_dir), spark.sparkContext.defaultParallelism
+    df.repartition(2 * files, "conv_id", "turn").write.parquet(f"{root}/in")
+    stream = cx.message_stream(spark, f"{root}/in", max_files_per_trigger=files)
     cx.start_context_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     df = cx.latest_context(spark, f"{root}/out").drop("mentions")
     return df.withColumn("segments_discussed", F.array_join("segments_discussed", ", "))
