@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clientele.functions.semantics import zero_if_null
+from clientele.functions.semantics import floor_days, zero_if_null
 from clientele.sources.tables import RetailTables
 
 GRAINS = ("base", "order")
@@ -46,16 +47,20 @@ def _places(t: RetailTables) -> DataFrame:
     )
 
 
-def item_lines(t: RetailTables) -> DataFrame:
-    """Order items with product attributes and the English category."""
+def with_category(t: RetailTables, lines: DataFrame) -> DataFrame:
+    """Lines with the attributes of their product and its English category."""
     categories = t.product_category_translation.select(
         "product_category_name", F.col("product_category_name_english").alias("category_english")
     )
     products = t.products.select(
         "product_id", "product_category_name", "product_weight_g", "product_photos_qty"
     ).join(categories, "product_category_name", "left")
-    items = t.order_items.select("order_id", "product_id", "seller_id", "price", "freight_value")
-    return items.join(products, "product_id", "left")
+    return lines.join(products, "product_id", "left")
+
+
+def item_lines(t: RetailTables) -> DataFrame:
+    """Order items with product attributes and the English category."""
+    return with_category(t, t.order_items.select("order_id", "product_id", "seller_id", "price", "freight_value"))
 
 
 def purchases(t: RetailTables) -> DataFrame:
@@ -78,10 +83,14 @@ def order_facts(t: RetailTables, grain: str = "base") -> DataFrame:
 
     ``w_item``, ``w_payment`` and ``w_review`` say how often one item, payment
     or review of the order counts, ``w_visit`` how often the order itself does.
+    ``paid_by`` and ``paid_in`` list type and installments of its payments, so that these are not joined to their
+    customers a second time.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
     cents = (F.col("price") * 100).cast("decimal(12,0)")
+    kind = t.order_items.schema["price"].dataType
+    whole_cents = isinstance(kind, T.DecimalType) and kind.scale <= 2 and kind.precision - kind.scale <= 10
     # Six exact sums are wider than a line, so lines are moved and not sums of a few of them.
     lines = t.order_items.select("order_id", "price", "freight_value").filter(F.col("order_id").isNotNull()).repartition("order_id")
     items = lines.groupBy("order_id").agg(
@@ -92,26 +101,38 @@ def order_facts(t: RetailTables, grain: str = "base") -> DataFrame:
         F.sum(cents).cast("decimal(38,0)").alias("cents"),
         F.sum(cents * cents).cast("decimal(38,0)").alias("cents_sq"),
     )
-    payments = t.order_payments.groupBy("order_id").agg(F.count("*").alias("n_payments"))
-    score, message = F.col("review_score"), F.col("review_comment_message")
-    reviews = t.order_reviews.groupBy("order_id").agg(
+    payments = t.order_payments.groupBy("order_id").agg(
+        F.count("*").alias("n_payments"),
+        F.collect_list(F.struct("payment_type", "payment_installments")).alias("paid"),
+    ).select("order_id", "n_payments", F.col("paid.payment_type").alias("paid_by"), F.col("paid.payment_installments").alias("paid_in"))
+    score, length = F.col("review_score"), F.col("review_length")
+    reviews = t.reviews_with(F.length, "review_length").groupBy("order_id").agg(
         F.count("*").alias("n_reviews"),
         F.count(score).alias("n_scores"),
         F.sum(score).alias("score_sum"),
         F.sum(score * score).alias("score_sq"),
         F.count_if(score >= 4).alias("n_positive"),
         F.count_if(score <= 2).alias("n_negative"),
-        F.count_if(message.isNotNull()).alias("n_texts"),
-        F.sum(F.coalesce(F.length(message), F.lit(0))).alias("text_length"),
+        F.count_if(length.isNotNull()).alias("n_texts"),
+        F.sum(F.coalesce(length, F.lit(0))).alias("text_length"),
     )
+    delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
+    arrived = (F.col("order_status") == "delivered") & delivered.isNotNull()
+    orders = t.orders.withColumns({  # whole days are narrower than the dates
+        "arrived": arrived,
+        "delivery_days": F.when(arrived, floor_days(delivered, F.col("order_purchase_timestamp"))),
+        "delay_days": F.when(arrived, floor_days(delivered, estimated)),
+    })
     # The customers come last: what is stored then lies by customer, and a task sums up most of a customer's orders
     # before anything is moved.
     joined = (
-        t.orders.join(items, "order_id")
+        orders.join(items, "order_id")
         .join(payments, "order_id", "left")
         .join(reviews, "order_id", "left")
         .join(_places(t), "customer_id").drop("customer_id")
     )
+    if whole_cents:  # then they need not be moved beside the price
+        joined = joined.withColumn("cents", (F.col("price_sum") * 100).cast("decimal(38,0)"))
     one = F.lit(1).cast("long")
     if grain == "base":
         per_payment = F.greatest(zero_if_null(F.col("n_payments")), one)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clientele.functions.semantics import (
     exact_stddev, first_peak, floor_days, ratio, smallest_mode, zero_if_null,
 )
-from clientele.operators.base import item_lines, order_facts, reference_date
+from clientele.operators.base import order_facts, reference_date, with_category
 from clientele.operators.rank import exact_quantiles
 from clientele.session import truncate
 from clientele.sources.tables import RetailTables
@@ -29,6 +29,7 @@ REGION_BY_STATE = {
     "ES": "Sudeste", "MG": "Sudeste", "RJ": "Sudeste", "SP": "Sudeste",
     "PR": "Sul", "RS": "Sul", "SC": "Sul",
 }
+SELLER_GROUPS = 8  # Fixed value: more groups share a customer among more tasks
 MAJOR_CITIES = ["sao paulo", "rio de janeiro", "belo horizonte", "brasilia", "curitiba"]
 
 RFM_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "avg_items_per_order",
@@ -96,20 +97,30 @@ def purchase_gaps(facts: DataFrame) -> DataFrame:
     """Mean of whole days between consecutive purchases, in time order.
 
     Two purchases on one calendar day are less than 24 hours apart and give 0,
-    so only the gap from one purchase day to the next counts. Grouping by
-    (customer, day) first bounds the window to the days of the calendar.
+    so only the gap from one purchase day to the next counts. Orders are moved
+    by (customer, year) and grouped by day, which bounds the window to the days
+    of a year; the gaps between years follow from one row per customer and year.
     """
     ts = F.col("order_purchase_timestamp")
     days = (
         facts.filter(F.col(CUSTOMER).isNotNull() & ts.isNotNull())
-        .groupBy(CUSTOMER, F.to_date(ts).alias("day"))
+        .select(CUSTOMER, ts, "w_visit")
+        .repartition(CUSTOMER, F.year(ts)).withColumn("year", F.year(ts))  # serves the days, their window and the years
+        .groupBy(CUSTOMER, "year", F.to_date(ts).alias("day"))
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.sum("w_visit").alias("n_rows"))
     )
-    previous = F.lag("last_ts").over(Window.partitionBy(CUSTOMER).orderBy("day"))
+    day_before = F.lag("last_ts").over(Window.partitionBy(CUSTOMER, "year").orderBy("day"))
+    years = (
+        days.withColumn("gap", floor_days(F.col("first_ts"), day_before))
+        .groupBy(CUSTOMER, "year")
+        .agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+             zero_if_null(F.sum("gap")).alias("gap_days"), F.sum("n_rows").alias("n_rows"))
+    )
+    year_before = F.lag("last_ts").over(Window.partitionBy(CUSTOMER).orderBy("year"))
     return (
-        days.withColumn("gap", floor_days(F.col("first_ts"), previous))
+        years.withColumn("gap", floor_days(F.col("first_ts"), year_before))
         .groupBy(CUSTOMER)
-        .agg(zero_if_null(F.sum("gap")).alias("gap_days"), F.sum("n_rows").alias("n_rows"))
+        .agg(F.sum(F.col("gap_days") + zero_if_null(F.col("gap"))).alias("gap_days"), F.sum("n_rows").alias("n_rows"))
         .select(CUSTOMER, ratio(F.col("gap_days"), F.nullif(F.col("n_rows") - 1, F.lit(0)))
                 .alias("avg_inter_purchase_days"))
     )
@@ -172,9 +183,7 @@ def temporal_features(facts: DataFrame) -> DataFrame:
     fills it with the median over customers.
     """
     ts, weight = F.col("order_purchase_timestamp"), F.col("w_visit")
-    delivered = F.col("order_delivered_customer_date")
-    arrived = (F.col("order_status") == "delivered") & delivered.isNotNull()
-    late_known = arrived & F.col("order_estimated_delivery_date").isNotNull()
+    arrived, delay = F.col("arrived"), F.col("delay_days")
 
     def count_where(condition):
         return F.sum(F.when(condition, weight).otherwise(0))
@@ -182,11 +191,10 @@ def temporal_features(facts: DataFrame) -> DataFrame:
     counts = _by_customer(facts).agg(
         *[count_where(F.weekday(ts) == d).alias(f"dow{d}") for d in range(7)],
         *[count_where(F.hour(ts) == h).alias(f"hour{h}") for h in range(24)],
-        F.sum(F.when(arrived, floor_days(delivered, ts) * weight)).alias("delivery_days"),
+        _wsum("delivery_days", "w_visit").alias("delivery_days"),
         F.sum(F.when(arrived, weight)).alias("n_delivered"),
-        F.sum(F.when(late_known, floor_days(delivered, F.col("order_estimated_delivery_date")) * weight))
-        .alias("delay_days"),
-        F.sum(F.when(late_known, weight)).alias("n_delay"),
+        _wsum(delay, "w_visit").alias("delay_days"),
+        F.sum(F.when(delay.isNotNull(), weight)).alias("n_delay"),
     )
     dow = [F.col(f"dow{d}") for d in range(7)]
     hour = [F.col(f"hour{h}") for h in range(24)]
@@ -218,7 +226,7 @@ def geographic_features(facts: DataFrame) -> DataFrame:
     """
     order = F.struct("order_purchase_timestamp", "order_id")
     first = _by_customer(facts).agg(
-        F.min_by(F.struct("customer_state", "customer_city", "customer_zip_code_prefix"), order).alias("place")
+        F.min_by(F.struct("customer_state", "customer_city"), order).alias("place")
     )
     region = F.create_map(*[F.lit(x) for pair in REGION_BY_STATE.items() for x in pair])
     located = first.select(
@@ -244,12 +252,22 @@ def state_statistics(facts: DataFrame) -> DataFrame:
 
 # ---- (customer, value) groupings --------------------------------------------
 
-def category_counts(t: RetailTables, facts: DataFrame) -> DataFrame:
-    """Rows, products and product attributes per customer and category."""
+def customer_lines(t: RetailTables, facts: DataFrame) -> DataFrame:
+    """Product and seller of each order item with the customer and the weight of its order."""
     owners = facts.filter(F.col(CUSTOMER).isNotNull()).select("order_id", CUSTOMER, "w_item")
+    return t.order_items.select("order_id", "product_id", "seller_id").join(owners, "order_id").drop("order_id")
+
+
+def category_counts(t: RetailTables, facts: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Rows, products and product attributes per customer and category.
+
+    ``lines`` are stored ``customer_lines``, if there are any. Products are joined last, so their attributes
+    are moved with a line once.
+    """
+    lines = customer_lines(t, facts) if lines is None else lines
     weight, photos = F.col("product_weight_g"), F.col("product_photos_qty")
     per_product = (
-        item_lines(t).join(owners, "order_id").select(
+        with_category(t, lines.select(CUSTOMER, "product_id", "w_item")).select(
             CUSTOMER, "category_english", "product_id", "product_weight_g", "product_photos_qty", "w_item")
         .repartition(CUSTOMER, "category_english")  # serves both groupings
         .groupBy(CUSTOMER, "product_id", "category_english", "product_weight_g", "product_photos_qty")
@@ -265,11 +283,11 @@ def category_counts(t: RetailTables, facts: DataFrame) -> DataFrame:
     )
 
 
-def basket_features(t: RetailTables, facts: DataFrame) -> DataFrame:
+def basket_features(t: RetailTables, facts: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Categories, products and product attributes per customer."""
     known = F.col("category_english").isNotNull()
     n = F.when(known, F.col("n"))
-    totals = category_counts(t, facts).groupBy(CUSTOMER).agg(
+    totals = category_counts(t, facts, lines).groupBy(CUSTOMER).agg(
         F.count("category_english").alias("distinct_categories"),
         smallest_mode(F.col("category_english"), F.col("n")).alias("favorite_category"),
         F.sum(n.cast("double") * n.cast("double")).alias("squares"),
@@ -289,38 +307,41 @@ def basket_features(t: RetailTables, facts: DataFrame) -> DataFrame:
     )
 
 
-def seller_features(t: RetailTables, facts: DataFrame) -> DataFrame:
-    """Distinct sellers per customer."""
-    owners = facts.filter(F.col(CUSTOMER).isNotNull()).select("order_id", CUSTOMER)
+def seller_features(t: RetailTables, facts: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Distinct sellers per customer.
+
+    Sellers are dealt to a few groups, which share a customer with very many
+    lines among tasks and leave few counts per customer to add up.
+    """
+    lines = customer_lines(t, facts) if lines is None else lines
+    group = F.pmod(F.xxhash64("seller_id"), F.lit(SELLER_GROUPS))
     return (
-        t.order_items.select("order_id", "seller_id").join(owners, "order_id")
-        .groupBy(CUSTOMER).agg(F.count_distinct("seller_id").alias("distinct_sellers"))
+        lines.select(CUSTOMER, "seller_id")
+        .repartition(CUSTOMER, group)
+        .withColumn("seller_group", group).distinct()
+        .groupBy(CUSTOMER).agg(F.count("seller_id").alias("distinct_sellers"))
     )
 
 
-def behavioral_features(t: RetailTables, facts: DataFrame) -> DataFrame:
+def behavioral_features(t: RetailTables, facts: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     return (
-        basket_features(t, facts)
+        basket_features(t, facts, lines)
         .join(price_features(facts), CUSTOMER, "left")
-        .join(seller_features(t, facts), CUSTOMER, "left")
+        .join(seller_features(t, facts, lines), CUSTOMER, "left")
         .select(CUSTOMER, *BEHAVIORAL_FEATURES)
     )
 
 
 def payment_features(t: RetailTables, facts: DataFrame) -> DataFrame:
     """Payment method, installments and method shares."""
-    kinds = t.order_payments.groupBy("order_id", "payment_type").agg(
-        F.count("*").alias("n"),
-        F.count("payment_installments").alias("n_inst"),
-        F.sum("payment_installments").alias("inst"),
-        F.max("payment_installments").alias("max_inst"),
-    )
-    owners = facts.filter(F.col(CUSTOMER).isNotNull()).select("order_id", CUSTOMER, "w_payment")
-    by_kind = owners.join(kinds, "order_id", "left").groupBy(CUSTOMER, "payment_type").agg(
-        _wsum("n", "w_payment").alias("n"),
-        _wsum("n_inst", "w_payment").alias("n_inst"),
-        _wsum("inst", "w_payment").alias("inst"),
-        F.max("max_inst").alias("max_inst"),
+    installments = F.col("paid_in")
+    payments = facts.filter(F.col(CUSTOMER).isNotNull()).select(
+        CUSTOMER, "w_payment", F.explode_outer(F.arrays_zip("paid_by", "paid_in")).alias("p"))
+    by_kind = payments.select(CUSTOMER, "w_payment", F.col("p.paid_by").alias("payment_type"), "p.paid_in").groupBy(CUSTOMER, "payment_type").agg(
+        F.sum("w_payment").alias("n"),
+        F.sum(F.when(installments.isNotNull(), F.col("w_payment")).otherwise(0)).alias("n_inst"),
+        _wsum(installments, "w_payment").alias("inst"),
+        F.max(installments).alias("max_inst"),
     )
     kind = F.col("payment_type")
     n, card = F.when(kind.isNotNull(), F.col("n")), kind == "credit_card"
@@ -341,14 +362,18 @@ def assemble(t: RetailTables, grain: str = "base", materialize: bool = False) ->
     """All 42 features per customer.
 
     With ``materialize`` the order facts, which seven branches read, are
-    stored once, without columns that no branch reads, instead of being joined again for each branch.
+    stored once, without columns that no branch reads, instead of being joined again for each branch;
+    so are the lines of the customers, which two branches read.
     """
-    facts = order_facts(t, grain)
+    facts, lines = order_facts(t, grain), None
     if materialize:
-        facts = truncate(facts.drop("order_approved_at", "order_delivered_carrier_date", "n_payments"))
+        facts = truncate(facts.drop(
+            "order_status", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
+            "order_estimated_delivery_date", "customer_zip_code_prefix", "n_payments"))
+        lines = truncate(customer_lines(t, facts))
     features = rfm_features(facts)
     for part in (
-        behavioral_features(t, facts),
+        behavioral_features(t, facts, lines),
         payment_features(t, facts),
         engagement_features(facts),
         temporal_features(facts),

@@ -1,6 +1,10 @@
 """What is read and moved once, so that it grows no faster than the tables."""
 
+import datetime
 import glob
+from dataclasses import replace
+
+from pyspark.sql import functions as F
 
 from clientele.checks import cohorts as cohort_checks
 from clientele.checks import messages as message_checks
@@ -8,7 +12,7 @@ from clientele.operators import explore as ex
 from clientele.operators import features as fe
 from clientele.operators import prepare as pr
 from clientele.operators.base import order_facts
-from clientele.session import scratch_folder
+from clientele.session import scratch_folder, truncate
 from clientele.sources.tables import derive_retail
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +84,53 @@ def test_answers_score_the_customers_once(spark, monkeypatch):
         monkeypatch.setattr(module, "clustered", lambda t: calls.append(1) or real(t))
     message_checks._answers(spark, SF)
     assert len(calls) == 1
+
+
+def test_lengths_of_reviews_are_moved_and_not_their_texts(spark):
+    facts = order_facts(derive_retail(spark, SF)).select("text_length", "n_texts")
+    plan = facts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    using = [line for line in plan if "text#" in line and "Relation" not in line]
+    assert len(using) == 1 and "length(text#" in using[0]
+
+
+def test_lengths_follow_the_reviews_in_use(spark):
+    t = derive_retail(spark, SF)
+    short = replace(t, order_reviews=t.order_reviews.withColumn("review_comment_message", F.lit("abc")))
+    assert {r.n for r in short.reviews_with(F.length, "n").select("n").distinct().collect()} == {3}
+    joined = t.reviews_with(F.length, "n")
+    stored = replace(t, joined_reviews=None).reviews_with(F.length, "n").select(joined.columns)
+    assert joined.exceptAll(stored).isEmpty() and stored.exceptAll(joined).isEmpty()
+
+
+def test_lines_meet_their_products_last(spark):
+    t = derive_retail(spark, SF)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = truncate(order_facts(t))
+        plan = plan_of(fe.category_counts(t, facts))
+        moved = [line for line in plan.splitlines() if "hashpartitioning(order_id" in line]
+        assert len(moved) == 2 and plan.index("hashpartitioning(product_id") < plan.index("hashpartitioning(order_id")
+        assert plan_of(fe.payment_features(t, facts)).count("Exchange hashpartitioning(order_id") == 0
+        gaps = plan_of(fe.purchase_gaps(facts))
+        assert gaps.count("Exchange hashpartitioning") == 2 and "_to_date" not in gaps.split("Exchange hashpartitioning")[1].split("\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_counts_of_sellers_do_not_grow_with_the_tasks(spark):
+    rows = [(1, i % 40) for i in range(400)] + [(2, None), (3, 7)]
+    lines = spark.createDataFrame(rows, "customer_unique_id long, seller_id long")
+    got = {r.customer_unique_id: r.distinct_sellers for r in fe.seller_features(None, None, lines).collect()}
+    assert got == {1: 40, 2: 0, 3: 1}
+    plan = plan_of(fe.seller_features(None, None, lines))
+    assert plan.count("hashpartitioning(customer_unique_id") == 2 and "L, pmod(xxhash64(seller_id" in plan
+
+
+def test_gaps_across_years(spark):
+    days = {1: ["2019-12-30 10:00", "2019-12-31 09:00", "2020-01-01 23:00", "2022-03-01 01:00", "2022-03-01 05:00"], 2: ["2020-05-05 00:00"], 3: [None]}
+    rows = [(c, None if d is None else datetime.datetime.fromisoformat(d), 2) for c, ds in days.items() for d in ds]
+    facts = spark.createDataFrame(rows, "customer_unique_id long, order_purchase_timestamp timestamp, w_visit long")
+    got = {r.customer_unique_id: r.avg_inter_purchase_days for r in fe.purchase_gaps(facts).collect()}
+    # 23 hours, 1.6 days, 789 days and 2 hours, and 4 hours; each order counts twice
+    assert got == {1: (0 + 1 + 789 + 0) / 9, 2: 0.0}
