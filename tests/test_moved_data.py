@@ -4,6 +4,7 @@ import datetime
 import glob
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from clientele.checks import cohorts as cohort_checks
@@ -134,3 +135,27 @@ def test_gaps_across_years(spark):
     got = {r.customer_unique_id: r.avg_inter_purchase_days for r in fe.purchase_gaps(facts).collect()}
     # 23 hours, 1.6 days, 789 days and 2 hours, and 4 hours; each order counts twice
     assert got == {1: (0 + 1 + 789 + 0) / 9, 2: 0.0}
+
+
+def test_stored_tables_are_compressed_well(spark):
+    stored = truncate(spark.range(1000).withColumn("text", F.lit("ab")))
+    kinds = {pq.ParquetFile(name.removeprefix("file:")).metadata.row_group(0).column(0).compression for name in stored.inputFiles()}
+    assert kinds == {"ZSTD"}
+    assert stored.agg(F.sum("id"), F.max("text")).first() == (499500, "ab")
+
+
+def test_reviews_are_moved_and_not_their_sums(spark):
+    plan = plan_of(order_facts(derive_retail(spark, SF)).select("score_sq", "text_length")).splitlines()
+    sums = [i for i, line in enumerate(plan) if "HashAggregate" in line and "sum((review_score" in line]
+    assert len(sums) == 2 and not any("Exchange" in line for line in plan[sums[0]:sums[1]])
+
+
+def test_sums_of_reviews_with_missing_and_repeated_orders(spark):
+    t = derive_retail(spark, SF)
+    order = t.orders.join(t.order_items, "order_id", "left_semi").join(t.customers, "customer_id", "left_semi").agg(F.min("order_id")).first()[0]
+    rows = [(1, order, 5, "abc"), (2, order, 2, None), (3, order, None, ""), (3, order, None, ""), (4, None, 1, "x"), (5, None, 1, None)]
+    reviews = spark.createDataFrame(rows, "review_id long, order_id long, review_score int, review_comment_message string")
+    names = ["n_reviews", "n_scores", "score_sum", "score_sq", "n_positive", "n_negative", "n_texts", "text_length"]
+    facts = order_facts(replace(t, order_reviews=reviews))
+    assert {tuple(r) for r in facts.filter(F.col("order_id") == order).select(names).collect()} == {(4, 2, 7, 29, 1, 1, 3, 3)}
+    assert facts.filter((F.col("order_id") != order) & F.col("n_reviews").isNotNull()).isEmpty()
