@@ -159,3 +159,30 @@ def test_sums_of_reviews_with_missing_and_repeated_orders(spark):
     facts = order_facts(replace(t, order_reviews=reviews))
     assert {tuple(r) for r in facts.filter(F.col("order_id") == order).select(names).collect()} == {(4, 2, 7, 29, 1, 1, 3, 3)}
     assert facts.filter((F.col("order_id") != order) & F.col("n_reviews").isNotNull()).isEmpty()
+
+
+def moved_columns(df, key):
+    """The columns below the exchange on ``key``, in the order in which they are moved."""
+    lines = plan_of(df).splitlines()
+    below = next(lines[i + 1] for i, line in enumerate(lines) if f"Exchange hashpartitioning({key}" in line)
+    return [c.split("#")[0].split(" AS ")[-1].strip() for c in below.split("Project [")[1].rsplit("]", 1)[0].split(", ") if "#" in c]
+
+
+def test_facts_are_moved_with_alike_columns_side_by_side(spark):
+    t = derive_retail(spark, SF)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = order_facts(t)
+        moved = moved_columns(facts.select("order_id", *[c for c in facts.columns if c.startswith(("n_", "w_", "p", "cents"))]), "customer_id")
+        assert moved[:3] == ["paid_by", "paid_in", "n_payments"] and moved[-5:] == ["order_id", "customer_id", "price_max", "price_sum", "cents_sq"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_facts_keep_columns_of_any_name(spark):
+    t = derive_retail(spark, SF)
+    plain = order_facts(t)
+    odd = order_facts(replace(t, orders=t.orders.withColumn("a.b", F.lit(1)).withColumn("c`d", F.lit(2))))
+    assert [c for c in odd.columns if c not in ("a.b", "c`d")] == plain.columns
+    assert odd.count() == plain.count() > 0 and odd.select(F.sum("`a.b`"), F.sum("`c``d`")).first() == (plain.count(), 2 * plain.count())
