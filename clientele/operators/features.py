@@ -255,7 +255,7 @@ def state_statistics(facts: DataFrame) -> DataFrame:
 def customer_lines(t: RetailTables, facts: DataFrame) -> DataFrame:
     """Product and seller of each order item with the customer and the weight of its order."""
     owners = facts.filter(F.col(CUSTOMER).isNotNull()).select("order_id", CUSTOMER, "w_item")
-    return t.order_items.select("order_id", "product_id", "seller_id").join(owners, "order_id").drop("order_id")
+    return t.order_items.select("product_id", "seller_id", "order_id").join(owners, "order_id").drop("order_id")
 
 
 def category_counts(t: RetailTables, facts: DataFrame, lines: DataFrame | None = None) -> DataFrame:
@@ -267,8 +267,9 @@ def category_counts(t: RetailTables, facts: DataFrame, lines: DataFrame | None =
     lines = customer_lines(t, facts) if lines is None else lines
     weight, photos = F.col("product_weight_g"), F.col("product_photos_qty")
     per_product = (
+        # In this order, what varies little first, they compress best.
         with_category(t, lines.select(CUSTOMER, "product_id", "w_item")).select(
-            CUSTOMER, "category_english", "product_id", "product_weight_g", "product_photos_qty", "w_item")
+            "category_english", "product_photos_qty", "product_weight_g", "product_id", "w_item", CUSTOMER)
         .repartition(CUSTOMER, "category_english")  # serves both groupings
         .groupBy(CUSTOMER, "product_id", "category_english", "product_weight_g", "product_photos_qty")
         .agg(F.sum("w_item").alias("n"))

@@ -186,3 +186,15 @@ def test_facts_keep_columns_of_any_name(spark):
     odd = order_facts(replace(t, orders=t.orders.withColumn("a.b", F.lit(1)).withColumn("c`d", F.lit(2))))
     assert [c for c in odd.columns if c not in ("a.b", "c`d")] == plain.columns
     assert odd.count() == plain.count() > 0 and odd.select(F.sum("`a.b`"), F.sum("`c``d`")).first() == (plain.count(), 2 * plain.count())
+
+
+def test_lines_are_moved_with_their_key_last(spark):
+    t = derive_retail(spark, SF)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = truncate(fe.customer_lines(t, truncate(order_facts(t))))
+        counts = moved_columns(fe.category_counts(t, None, lines), fe.CUSTOMER)
+        assert counts == ["category_english", "product_photos_qty", "product_weight_g", "product_id", "w_item", fe.CUSTOMER]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
