@@ -12,7 +12,7 @@ from clientele.functions.semantics import ratio
 from clientele.operators import explore as ex
 from clientele.operators import segments as sg
 from clientele.session import truncate
-from clientele.sources.tables import RetailTables, with_english_category
+from clientele.sources.tables import TABLE_NAMES, RetailTables, with_english_category
 
 
 def key_insights(t: RetailTables) -> DataFrame:
@@ -42,7 +42,7 @@ def exploration_report(t: RetailTables, on_tied_edges: str = "raise") -> dict[st
     values = truncate(ex.order_values(t.order_items))
     lengths = truncate(ex.text_lengths(t.order_reviews))
     products = with_english_category(t.products, t.product_category_translation)
-    named = {name: frame for name, frame in vars(t).items() if frame is not None and name != "geolocation"}
+    named = {name: getattr(t, name) for name in TABLE_NAMES if name != "geolocation" and getattr(t, name) is not None}
     frames = {
         "orders_per_customer": (per_customer, "orders"), "order_value": (values, "total_value"),
         "text_length": (lengths, "text_length"), "recency": (rfm, "recency"),

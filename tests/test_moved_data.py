@@ -13,6 +13,7 @@ from clientele.operators import explore as ex
 from clientele.operators import features as fe
 from clientele.operators import prepare as pr
 from clientele.operators.base import order_facts
+from clientele.plans.exploration_plan import exploration_report
 from clientele.session import scratch_folder, truncate
 from clientele.sources.tables import derive_retail
 
@@ -198,3 +199,24 @@ def test_lines_are_moved_with_their_key_last(spark):
         assert counts == ["category_english", "product_photos_qty", "product_weight_g", "product_id", "w_item", fe.CUSTOMER]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_the_report_reads_tables_whose_reviews_are_joined(spark, tmp_path):
+    day = datetime.datetime(2020, 1, 5)
+    tables = {
+        "customer": ([(1, 3), (2, 3), (3, 4)], "c_custkey long, c_nationkey int"),
+        "orders": ([(k, 1 + k % 3, "FO"[k % 2], "1-URGENT", 10.0 * k, day + datetime.timedelta(days=k)) for k in range(1, 13)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_totalprice double, o_orderdate timestamp"),
+        "lineitem": ([(k, 1, k % 2 + 1, 1, day, 5.0 * k, 2.0) for k in range(1, 13)],
+                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp, l_extendedprice double, l_quantity double"),
+        "part": ([(1, "ECONOMY", "a", 4), (2, "PROMO", "b", 7)], "p_partkey long, p_type string, p_name string, p_size int"),
+        "supplier": ([(1, 3)], "s_suppkey long, s_nationkey int"),
+        "documents": ([(1, "good"), (2, "bad"), (40, "lost")], "doc_id long, text string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = derive_retail(spark, str(tmp_path))
+    assert t.joined_reviews is not None
+    got = {r.table: (r.rows, r.missing_cells) for r in exploration_report(t, on_tied_edges="rank")["table_profile"].collect()}
+    assert got == {"customers": (3, 0), "orders": (12, 6), "order_items": (12, 0), "products": (2, 0), "product_category_translation": (2, 0),
+                   "order_payments": (18, 0), "order_reviews": (13, 12), "sellers": (1, 0)}
